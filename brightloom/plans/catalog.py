@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-from brightloom.plans import sources_sinks  # noqa: F401
+from brightloom.plans import (  # noqa: F401
+    column_operations,
+    functions_text,
+    sources_sinks,
+)
 from brightloom.plans.registry import CHECK_SQL, QUERIES  # noqa: F401
