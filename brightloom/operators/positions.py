@@ -45,6 +45,15 @@ def range_sorted(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     )
 
 
+def _same_piece(pieces: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``pieces`` with its key columns renamed, and the condition that joins it to the sorted rows."""
+    renamed = pieces.withColumnsRenamed({_PART: f"{_PART}_2", **{k: f"_key_{k}" for k in keys}})
+    condition = F.col(_PART) == F.col(f"{_PART}_2")
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return renamed, condition
+
+
 def with_position(df: DataFrame, order: Sequence[str | Column], name: str, start: int = 0) -> DataFrame:
     """Add the position of each row in ``order``, counting from ``start``.
 
@@ -76,16 +85,8 @@ def with_group_position(
     # At most one row per partition for each key group.
     before = W.partitionBy(*keys).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
     pieces = pieces.withColumn(_PRIOR, F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    same_piece = [ranged[_PART] == pieces[_PART]] + [
-        ranged[k].eqNullSafe(pieces[k]) for k in keys
-    ]
-    return (
-        ranged.join(pieces, same_piece)
-        .select(
-            *[ranged[c] for c in df.columns],
-            (F.col(_PRIOR) + ranged[_INDEX] - F.col("_first") + F.lit(start).cast("bigint")).alias(name),
-        )
-    )
+    return ranged.join(*_same_piece(pieces, keys)).select(
+        *df.columns, (F.col(_PRIOR) + F.col(_INDEX) - F.col("_first") + F.lit(start).cast("bigint")).alias(name))
 
 
 def with_running_sums(
@@ -113,8 +114,5 @@ def with_running_sums(
     # Groups of this window are single partitions of the range sort.
     inside = W.partitionBy(_PART, *keys).orderBy(_INDEX).rowsBetween(W.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(src).over(inside).alias(f"_r_{new}") for new, src in sums.items()])
-    same_piece = [local[_PART] == totals[_PART]] + [local[k].eqNullSafe(totals[k]) for k in keys]
-    return local.join(totals if keys else F.broadcast(totals), same_piece).select(
-        *[local[c] for c in df.columns],
-        *[(F.col(f"_r_{new}") + F.col(f"_p_{new}")).alias(new) for new in sums],
-    )
+    return local.join(*_same_piece(totals if keys else F.broadcast(totals), keys)).select(
+        *df.columns, *[(F.col(f"_r_{new}") + F.col(f"_p_{new}")).alias(new) for new in sums])

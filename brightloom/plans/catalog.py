@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from brightloom.plans import (  # noqa: F401
+    aggregation,
     column_operations,
     functions_text,
+    graphs,
+    joins_sets,
     sources_sinks,
+    streams,
 )
 from brightloom.plans.registry import CHECK_SQL, QUERIES  # noqa: F401
