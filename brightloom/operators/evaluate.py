@@ -46,10 +46,14 @@ def class_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
     """Precision, recall, F1 and support per class, with macro and weighted averages."""
     cells = confusion(df, label, predicted)
     right = F.sum(F.when(F.col("is_actual") & F.col("is_predicted"), F.col("n")).otherwise(0))
+
+    def side(column: str, is_actual: bool, is_predicted: Column) -> Column:
+        return F.struct(
+            F.col(column).cast("string").alias("class"), F.lit(is_actual).alias("is_actual"),
+            is_predicted.alias("is_predicted"))
+
     sides = cells.select("n", F.inline(F.array(
-        F.struct(F.col(label).cast("string").alias("class"), F.lit(True).alias("is_actual"),
-                 F.col(label).eqNullSafe(F.col(predicted)).alias("is_predicted")),
-        F.struct(F.col(predicted).cast("string"), F.lit(False), F.lit(True)))))
+        side(label, True, F.col(label).eqNullSafe(F.col(predicted))), side(predicted, False, F.lit(True)))))
     per_class = sides.groupBy("class").agg(
         right.alias("tp"),
         F.sum(F.when(F.col("is_actual"), F.col("n")).otherwise(0)).alias("support"),

@@ -5,9 +5,12 @@ from __future__ import annotations
 from brightloom.plans import (  # noqa: F401
     aggregation,
     column_operations,
+    evaluation,
     functions_text,
     graphs,
     joins_sets,
+    models,
+    preparation,
     sources_sinks,
     streams,
 )
