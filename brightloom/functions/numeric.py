@@ -72,12 +72,31 @@ def is_prime(n: Column) -> Column:
     return F.when(n < 2, False).when(small, True).when(divisible, False).when(n < 37 * 37, True).otherwise(~rest)
 
 
+# Bases for which the Miller-Rabin test has no exception among 64-bit numbers.
+WITNESSES = [2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37]
+
+
+def _passes_witnesses(n: int) -> bool:
+    """Miller-Rabin test of an odd number above the witnesses."""
+    twos = ((n - 1) & (1 - n)).bit_length() - 1
+    odd = (n - 1) >> twos
+    for w in WITNESSES:
+        x = pow(w, odd, n)
+        if x in (1, n - 1):
+            continue
+        if not any((x := x * x % n) == n - 1 for _ in range(twos - 1)):
+            return False
+    return True
+
+
 def _prime_batch(values: np.ndarray) -> np.ndarray:
-    keep = values >= 2
-    top = math.isqrt(int(values.max(initial=0)))
-    for d in range(2, top + 1):
-        keep &= (values % d != 0) | (values <= d)
-    return keep
+    """Small divisors for all values at once; the few that are left one by one."""
+    prime = np.isin(values, WITNESSES)
+    left = (values > WITNESSES[-1])
+    for w in WITNESSES:
+        left &= values % w != 0
+    prime[left] = [_passes_witnesses(int(v)) for v in values[left]]
+    return prime
 
 
 @F.pandas_udf(T.BooleanType())

@@ -46,17 +46,37 @@ def without_stop_words(tokens: Column, stop_words: Sequence[str] = STOP_WORDS) -
     return F.filter(tokens, lambda w: ~w.isin(list(stop_words)))
 
 
+# A whole token of letters, between blanks or the ends of the text.
+LETTERS_ONLY = "(?<![^ \\t\\n\\r\\f])\\p{L}+(?![^ \\t\\n\\r\\f])"
+
+
 def clean_words(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """Lower-case alphabetic words of a text without punctuation and stop words."""
-    tokens = words(without_punctuation(F.lower(text)))
-    return without_stop_words(F.filter(tokens, lambda w: w.rlike("^\\p{L}+$")), stop_words)
+    tokens = F.regexp_extract_all(without_punctuation(F.lower(text)), F.lit(LETTERS_ONLY), F.lit(0))
+    return without_stop_words(tokens, stop_words)
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out a single time, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def clean_text(text: Column, longer_than: int | None = None) -> Column:
     """Cleaned words joined by blanks; null when there are not more than ``longer_than`` of them."""
-    kept = clean_words(text)
-    joined = F.array_join(kept, " ")
-    return joined if longer_than is None else F.when(F.size(kept) > longer_than, joined)
+    if longer_than is None:
+        return F.array_join(clean_words(text), " ")
+    return once(clean_words(text), lambda w: F.when(F.size(w) > longer_than, F.array_join(w, " ")))
+
+
+def long_clean_texts(df: DataFrame, column: str, longer_than: int = 50) -> DataFrame:
+    """Clean a text column and keep the rows with more than ``longer_than`` words.
+
+    The rows are dropped by an explode: a filter on the cleaned column would be moved
+    before the cleaning and do that work twice.
+    """
+    cleaned = clean_text(F.col(column), longer_than)
+    kept = F.filter(F.array(cleaned), lambda t: t.isNotNull())
+    return df.withColumn(column, F.explode(kept))
 
 
 def clean_string_columns(df: DataFrame, missing: str = "not in universe") -> DataFrame:
@@ -74,13 +94,9 @@ def clean_string_columns(df: DataFrame, missing: str = "not in universe") -> Dat
 
 def ngrams(tokens: Column, n: int) -> Column:
     """Runs of ``n`` neighbouring tokens joined by blanks, with repeats."""
-    return F.when(
-        F.size(tokens) >= n,
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(1))),
-            lambda i: F.array_join(F.slice(tokens, i, n), " "),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+    starts = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
+    return F.transform(
+        starts, lambda first, i: F.concat_ws(" ", first, *[F.get(tokens, i + step) for step in range(1, n)]))
 
 
 def head(items: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.ml.feature import PCA, Imputer, MinMaxScaler, StandardScaler, Vecto
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from brightloom.functions import text
+from brightloom.operators.partitions import spread
 from brightloom.operators.positions import with_position
 
 
@@ -100,10 +101,11 @@ def with_ones(df: DataFrame, name: str = "ones") -> DataFrame:
 
 def term_counts(df: DataFrame, key: str, column: str) -> DataFrame:
     """Counts of cleaned words and word pairs per text: (key, term, n). Repeats count."""
-    tokens = df.select(key, text.clean_words(F.col(column)).alias("_w"))
-    # The tokens are made once; the explode keeps them from being worked out twice.
-    terms = tokens.select(key, F.explode(F.transform(F.array("_w"), lambda w: F.concat(w, text.ngrams(w, 2)))).alias("_t"))
-    return terms.select(key, F.explode("_t").alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    both = text.once(text.clean_words(F.col(column)), lambda w: F.concat(w, text.ngrams(w, 2)))
+    terms = spread(df.select(key, column)).select(key, F.explode(both).alias("term"))
+    # A join on the term would add this filter to its own side only; with it on every use of
+    # the counts their shuffle is the same everywhere and Spark runs it once.
+    return terms.filter(F.col("term").isNotNull()).groupBy(key, "term").agg(F.count("*").alias("n"))
 
 
 def top_terms(counts: DataFrame, size: int) -> DataFrame:

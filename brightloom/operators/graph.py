@@ -15,7 +15,7 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     tells the planner whether this side of the next join is small enough to broadcast."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def vertices(edges: DataFrame) -> DataFrame:
@@ -97,11 +97,10 @@ def out_links(lines: DataFrame, column: str = "value", sep: str = " ") -> DataFr
 
 
 def adjacency(edges: DataFrame, block: int = 1000) -> DataFrame:
-    """Targets per source in lists of about ``block`` entries: (src, out_degree, targets).
+    """Targets per source of distinct edges in lists of about ``block`` entries: (src, out_degree, targets).
 
     A source with very many targets becomes many rows, so no task gathers all of them.
     """
-    edges = edges.select("src", "dst").distinct()
     degree = edges.groupBy("src").agg(F.count("*").alias("out_degree"))
     piece = F.pmod(F.xxhash64("dst"), F.ceil(F.col("out_degree") / block))
     return (
@@ -126,9 +125,10 @@ def page_rank(edges: DataFrame, rounds: int, cut_every: int = 5) -> DataFrame:
     All endpoints start with an equal share of 1. A page that nobody links to is gone
     after the first round; rank sent to a page without links of its own is not passed on.
     """
+    edges = _written(edges.select("src", "dst").distinct(), "edges")
     links = _written(adjacency(edges), "links")
-    n = vertices(edges).count()
-    ranks = vertices(edges).select("id", F.lit(1.0 / n if n else 0.0).alias("rank"))
+    pages = _written(vertices(edges), "pages")
+    ranks = pages.select("id", F.lit(1.0 / max(pages.count(), 1)).alias("rank"))
     for i in range(1, rounds + 1):
         ranks = contributions(links, ranks).groupBy("id").agg(F.sum("part").alias("rank"))
         if i % cut_every == 0 and i < rounds:

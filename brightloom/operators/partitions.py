@@ -1,0 +1,16 @@
+"""Spreading a table that the scan cuts into fewer pieces than there are cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash the rows to one partition per core where the scan gives no more pieces than that.
+
+    For row work that costs far more than moving the row, such as text cleaning. A scan
+    piece has at most ``spark.sql.files.maxPartitionBytes``, so only tables smaller than
+    that times the cores are moved; larger ones are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() <= cores else df

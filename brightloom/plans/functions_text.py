@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brightloom.functions import numeric, text
+from brightloom.operators.partitions import spread
 from brightloom.plans.registry import query, table
 
 
@@ -117,15 +118,15 @@ def date_time(spark, sf_dir):
 @query("f12_clean_long_texts", sql=f"""
     SELECT doc_id, {joined_sql('w')} AS text FROM (SELECT doc_id, {clean_words_sql('text')} AS w FROM documents) WHERE len(w) > 50""")
 def clean_long_texts(spark, sf_dir):
-    cleaned = table(spark, sf_dir, "documents").select(
-        "doc_id", text.clean_text(F.col("text"), longer_than=50).alias("text"))
-    return cleaned.filter(F.col("text").isNotNull())
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return text.long_clean_texts(documents, "text", longer_than=50)
 
 
 @query("f13_clean_texts", sql=f"""
     SELECT conv_id, turn, {joined_sql(clean_words_sql('text'))} AS text FROM conversations""")
 def clean_texts(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.clean_text(F.col("text")).alias("text"))
+    turns = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")
+    return turns.withColumn("text", text.clean_text(F.col("text")))
 
 
 def _clean_column_sql(column: str) -> str:

@@ -150,3 +150,71 @@ def test_class_probabilities_sum_to_one(spark, sf_dir):
     rows = queries()["l18_model_scoring"](spark, sf_dir)
     off = rows.filter(F.abs(F.col("probability_0") + F.col("probability_1") - 1) > 1e-9)
     assert off.count() == 0
+
+
+@pytest.fixture(scope="module")
+def run(spark, sf_dir):
+    from __spark_entry__ import queries
+
+    return lambda name: queries()[name](spark, sf_dir)
+
+
+@pytest.mark.parametrize("name, label", [
+    ("l01_logistic_regression", "low_label"), ("l03_forest_classification", "label"),
+    ("l04_tree_classification", "label"), ("l05_boosted_trees", "low_label")])
+def test_classifiers_beat_the_largest_class(run, name, label):
+    rows = run(name)
+    n = rows.count()
+    largest = rows.groupBy(label).count().agg(F.max("count")).first()[0] / n
+    right = evaluate.accuracy(rows, label, "prediction").first()["accuracy"]
+    assert right > largest
+    assert rows.filter((F.col("probability") <= 0) | (F.col("probability") > 1 + 1e-9)).isEmpty()
+
+
+def test_clusters_use_every_number(run):
+    rows = run("l17_k_means")
+    assert rows.select("cluster_of_8").distinct().count() == 8
+    assert rows.select("cluster_of_2").distinct().count() == 2
+
+
+def test_more_clusters_cost_less(run):
+    costs = [r["cost"] for r in run("h07_elbow").orderBy("k").collect()]
+    assert costs == sorted(costs, reverse=True)
+
+
+def test_lasso_and_ridge_shrink(run):
+    plain = {r["term"]: r["coefficient"] for r in run("l15_scaled_regression").collect()}
+    for r in run("l16_lasso_and_ridge").collect():
+        if r["term"] == "l_quantity":
+            assert 0 < r["coefficient"] < plain["l_quantity"]
+
+
+def test_best_parameters_have_the_best_mean(run):
+    table = run("h03_grid_search").orderBy(F.desc("mean")).collect()
+    assert run("h08_best_parameters").first()["params"] in {r["params"] for r in table if r["mean"] == table[0]["mean"]}
+
+
+def test_components_are_centred_and_ordered(run):
+    row = run("m11_principal_components").agg(
+        F.avg("first").alias("m"), F.var_samp("first").alias("a"), F.var_samp("second").alias("b")).first()
+    assert abs(row["m"]) < 1e-6 and row["a"] >= row["b"] > 0
+
+
+def test_deeper_trees_fit_the_training_rows_better(run):
+    rows = run("h06_validation_curve").orderBy("value").collect()
+    assert [r["train"] for r in rows] == sorted(r["train"] for r in rows)
+    assert all(r["train"] >= r["validation"] for r in rows)
+
+
+def test_stream_scores_equal_table_scores(spark, sf_dir):
+    from brightloom.plans import streams
+    from brightloom.streaming import scoring
+
+    model = streams.sensor_model(spark, sf_dir)
+    table = streams.sensor_rows(streams.table(spark, sf_dir, "events"))
+    want = scoring.score(model, table, ["event_id", "occupancy"])
+    got = streams.score_stream(spark, sf_dir)
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+    confusion = {(r["occupancy"], r["predicted"]): r["n"] for r in streams.running_confusion(spark, sf_dir).collect()}
+    assert confusion == {
+        (r["occupancy"], r["predicted"]): r["n"] for r in scoring.running_confusion(want, "occupancy").collect()}
