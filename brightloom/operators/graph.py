@@ -25,7 +25,7 @@ def vertices(edges: DataFrame) -> DataFrame:
 
 def known_edges(edges: DataFrame, known: DataFrame) -> DataFrame:
     """Distinct edges with both ends in ``known`` (id)."""
-    return members_of(members_of(edges.distinct(), "src", known, "id"), "dst", known, "id")
+    return members_of(members_of(edges, "src", known, "id"), "dst", known, "id").distinct()
 
 
 def edges_around(edges: DataFrame, vertex) -> DataFrame:
