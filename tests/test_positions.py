@@ -65,6 +65,19 @@ def test_medians_of_odd_and_even_counts(spark):
     assert found == {"a": 3.0, "b": 5.0}
 
 
+def test_medians_of_many_values_with_a_hot_one(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    smooth, hot = rng.normal(size=20_001), rng.integers(0, 1000, size=20_001).astype(float)
+    hot[::3] = 500.0
+    df = spark.createDataFrame(list(zip(smooth.tolist(), hot.tolist())), "a double, b double")
+    for limited in (10_000, 50):
+        found = {r["column"]: r["median"] for r in aggregates.medians(df, ["a", "b"], limited).collect()}
+        assert found == {"a": float(np.median(smooth)), "b": float(np.median(hot))}
+    assert aggregates.medians(df.filter("a > 100"), ["a", "b"]).count() == 0
+
+
 def test_stratified_folds_share_every_class(spark):
     folds = ranking.stratified_folds(skewed(spark), "key", "id", 5).groupBy("key", "fold").count().collect()
     sizes = {}
