@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -42,5 +42,17 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def pieces(texts: Sequence[str | bytes | None], most: int = 1_000_000) -> Iterator[slice]:
+    """Cut a batch into runs of neighbours of about ``most`` characters, at least one text each."""
+    begin, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text) if text else 0
+        if held >= most:
+            yield slice(begin, i + 1)
+            begin, held = i + 1, 0
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

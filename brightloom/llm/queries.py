@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightloom.llm import quality
+from brightloom.llm import langid, mixing, quality
 from brightloom.plans.registry import query, table
 
 
@@ -15,3 +15,20 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                "n_stop_words", "n_lines", "n_open_lines", "n_bullet_lines")
     judged = quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", *[F.col("quality")[c].alias(c) for c in columns])
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
+@query("op10_mixing", mixing.check_sql())
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
