@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightloom.llm import langid, mixing, quality
+from brightloom.llm import langid, mixing, quality, secrets
 from brightloom.plans.registry import query, table
 
 
@@ -32,3 +32,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_secret_scans")
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by pattern and by the tagged words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(docs))
+    return found.select("doc_id", *secrets.digest(F.col("secrets")))
