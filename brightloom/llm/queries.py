@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightloom.llm import langid, mixing, quality, secrets
+from brightloom.llm import langid, mixing, packing, quality, secrets
 from brightloom.plans.registry import query, table
 
 
@@ -40,3 +41,9 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan(docs, secrets.fit(docs))
     return found.select("doc_id", *secrets.digest(F.col("secrets")))
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents in sequences of at most 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
