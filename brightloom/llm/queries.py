@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightloom.llm import langid, mixing, packing, quality, secrets
+from brightloom.llm import langid, mixing, near_dedup, packing, quality, secrets
 from brightloom.plans.registry import query, table
 
 
@@ -47,3 +47,9 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of all documents in sequences of at most 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query("op6_near_duplicates")
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by word triples, at a similarity of 0.85 or more."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
