@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightloom.llm import langid, mixing, near_dedup, packing, quality, secrets
+from brightloom.llm import langid, mixing, near_dedup, packing, quality, secrets, substrings
 from brightloom.plans.registry import query, table
 
 
@@ -53,3 +53,9 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by word triples, at a similarity of 0.85 or more."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query("op9_substring_dedup")
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that an earlier document holds in a string of 50 bytes."""
+    return substrings.dedup(table(spark, sf_dir, "documents")).drop("kept")
