@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightloom.llm import langid, mixing, near_dedup, packing, quality, secrets, substrings
+from brightloom.llm import html_text, langid, mixing, near_dedup, packing, quality, secrets, substrings
 from brightloom.plans.registry import query, table
 
 
@@ -59,3 +59,9 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that an earlier document holds in a string of 50 bytes."""
     return substrings.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op5_html_text")
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
