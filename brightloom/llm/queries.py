@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightloom.llm import html_text, langid, mixing, near_dedup, packing, quality, secrets, substrings
+from brightloom.llm import html_text, langid, mixing, near_dedup, neighbours, packing, quality, secrets, substrings
 from brightloom.plans.registry import query, table
 
 
@@ -65,3 +65,9 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op3_nearest_vectors")
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
