@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -29,9 +28,14 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 OUT, BEGIN, INSIDE = range(3)
 _KEYS = frozenset("password passwd pwd secret token apikey api_key key auth bearer credential credentials access_key private_key".split())
 _STARTS = ("passw", "secret", "token", "apikey", "api_key")
+_DIGIT, _RUN = re.compile(r"\d"), re.compile(r"\d+|[A-Z]+|[^\dA-Z]+")
+_HEX_WORD, _ODD_SIGN = re.compile(r"[0-9a-f]{8,}"), re.compile(r"[^\w+/=.-]")
+#: Plain words, of up to 11 letters of which only the first may be upper case, are passed over; the next other word is caught.
+_OTHER = re.compile(r"\s*+(?:[A-Za-zÀ-ÖØ-öø-ÿ][a-zß-öø-ÿ]{0,10}+[.,;!?]*+(?:\s++|\Z))*+(\S*+)")
+_KEY = re.compile("|".join(sorted(_KEYS)), re.IGNORECASE)
 _EDGES = "\"'`()[]{}<>,;"
-#: Words that a worker remembers as harmless; the store is emptied when it is full.
-_MEMO = 300_000
+#: Words whose scores a worker remembers.
+_MEMO = 200_000
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -64,21 +68,18 @@ def _value(word: str) -> str:
 def shape(word: str) -> list[str]:
     """Features of a word alone."""
     value, core = _value(word), _core(word)
-    n = len(value)
-    digits = sum(c.isdigit() for c in value)
-    counts = Counter(value)
-    entropy = -sum(k / n * math.log2(k / n) for k in counts.values()) if n else 0.0
-    turns = sum(a.isdigit() != b.isdigit() or a.isupper() != b.isupper() for a, b in zip(value, value[1:]))
-    out = [f"length {min(n // 4, 10)}", f"entropy {int(entropy)}", f"turns {min(turns // 3, 6)}", f"digits {0 if not n else math.ceil(4 * digits / n)}"]
-    if n >= 8 and all(c in "0123456789abcdef" for c in value):
+    n, digits = len(value), len(_DIGIT.findall(value))
+    out = [f"length {min(n // 4, 10)}", f"kinds {min(len(set(value)) // 4, 6)}",
+           f"runs {min(len(_RUN.findall(value)) // 3, 6)}", f"digits {0 if not n else math.ceil(4 * digits / n)}"]
+    if _HEX_WORD.fullmatch(value):
         out.append("hex")
     if value.startswith("AKIA"):
         out.append("access start")
-    if any(c.islower() for c in value) and any(c.isupper() for c in value[1:]) and digits:
+    if digits and value != value.lower() and value != value.upper():
         out.append("mixed")
-    if any(not c.isalnum() and c not in "+/_.=-" for c in value):
+    if _ODD_SIGN.search(value):
         out.append("odd characters")
-    if value.isdigit():
+    if digits == n:
         out.append("number")
     if core != value:
         out.append("value in word")
@@ -270,45 +271,52 @@ class Tagger:
                                (field.start - field.start[OUT]).max()) + out_free.max())
         common = [(w[1:] - w[0]).max() for f, w in zip(field.index, field.weights) if f.startswith("file ")]
         self.bonus += 2 * max([0.0, *common])
-        self.cold: set[str] = set()
+        self.known: dict[str, np.ndarray] = {}
         gain = {f: (w[1:] - w[0]).max() for f, w in zip(field.index, field.weights)}
 
-        def most(name: str) -> float:
-            return max(gain.get(f"{name} {k}", 0.0) for k in range(4))
+        # Most that a plain word can score: it has a length below 12, and no more kinds of letters than letters.
+        sizes = max(gain.get(f"length {n}", 0.0) + gain.get(f"kinds {k}", 0.0) for n in range(3) for k in range(n + 1))
+        self.plain = sizes + gain.get("runs 0", 0.0) + gain.get("digits 0", 0.0) + max(0.0, gain.get("hex", 0.0)) + self.bonus
 
-        # Most that a word of fewer than 16 letters, the first of them upper or lower case, can score.
-        self.plain = most("length") + most("entropy") + gain.get("turns 0", 0.0) + gain.get("digits 0", 0.0) + max(0.0, gain.get("hex", 0.0)) + self.bonus
+    def emission(self, word: str) -> np.ndarray:
+        """Scores of a word alone, remembered; the store is emptied when it is full."""
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) > _MEMO:
+                self.known = {}
+            found = self.known[word] = self.field.emission(shape(word))
+        return found
 
     def _hot(self, word: str) -> bool:
-        if self.plain <= 0:
-            core = word.rstrip(".,;!?")
-            if len(core) < 16 and core.isalpha() and (len(core) == 1 or core[1:].islower()) and core.lower() not in _KEYS:
-                return False
         if _role(word):
             return True
-        e = self.field.emission(shape(word))
+        e = self.emission(word)
         return max(e[BEGIN], e[INSIDE]) - e[OUT] + self.bonus > 0
 
-    def _hot_words(self, words: set[str]) -> set[str]:
-        fresh = words - self.cold
-        hot = {w for w in fresh if self._hot(w)}
-        if len(self.cold) > _MEMO:
-            self.cold = set()
-        self.cold |= fresh - hot
-        return hot
+    def hot_places(self, text: str) -> list[int]:
+        """Where a word stands that may not be outside; plain words are looked at only if they name a key."""
+        if self.plain > 0:
+            return [m.start() for m in re.finditer(r"\S+", text) if self._hot(m[0])]
+        found = [m.start(1) for m in _OTHER.finditer(text) if m[1] and self._hot(m[1])]
+        low = text.lower()
+        return found + [m.start() for m in _KEY.finditer(text)] if any(k in low for k in _KEYS) else found
 
     def tags(self, words: Sequence[str], common: np.ndarray) -> np.ndarray:
-        emissions = np.array([self.field.emission(shape(w) + _around(words, i)) for i, w in enumerate(words)])
-        return viterbi(emissions + common, self.field.moves, self.field.start)
+        emissions = np.array([self.emission(w) for w in words]) + common
+        for i in range(len(words)):
+            around = _around(words, i)
+            if around:
+                emissions[i] += self.field.emission(around)
+        return viterbi(emissions, self.field.moves, self.field.start)
 
     def _field_spans(self, text: str) -> Iterator[tuple[int, int]]:
-        hot = self._hot_words(set(text.split()))
-        if not hot:
-            return
-        common = self.field.emission(file_features(text))
-        for at, line in _lines(text):
-            if hot.isdisjoint(line.split()):
+        common, done = None, 0
+        for place in sorted(self.hot_places(text)):
+            if place < done:
                 continue
+            at, done = text.rfind("\n", 0, place) + 1, text.find("\n", place) % (len(text) + 1)
+            line = text[at:done]
+            common = self.field.emission(file_features(text)) if common is None else common
             marks = list(re.finditer(r"\S+", line))
             tags = self.tags([m[0] for m in marks], common)
             i = 0

@@ -76,7 +76,7 @@ def test_lines_passed_over_are_all_outside(field):
     pool = ["the", "Boat", "123", "a1b2c3d4e5f6", "x=y", "Q9w8E7r6T5", "don't", "####", "mail@host.org", "AKIA"]
     for _ in range(200):
         words = [pool[i] for i in rng.integers(0, len(pool), 7)]
-        if not tagger._hot_words(set(words)):
+        if not tagger.hot_places(" ".join(words)):
             common = field.emission(secrets.file_features(" ".join(words)))
             assert not tagger.tags(words, common).any()
 
