@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightloom.llm import html_text, langid, mixing, near_dedup, neighbours, packing, quality, secrets, substrings
+from brightloom.llm import html_text, langid, licenses, mixing, near_dedup, neighbours, packing, quality, secrets, substrings
 from brightloom.plans.registry import query, table
 
 
@@ -71,3 +71,9 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth vector."""
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op2_license_scans", licenses.check_sql())
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License statements that documents hold."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
