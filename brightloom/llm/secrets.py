@@ -259,6 +259,19 @@ def scan(docs: DataFrame, field: Field, text: str = "text", out: str = "secrets"
     return docs.withColumn(out, find(F.col(text)))
 
 
+def redact(docs: DataFrame, field: Field, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """Replace every secret of ``text`` by ``mark``; touching or overlapping spans become one. A null text stays null."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    @F.pandas_udf("string")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tagger = Tagger(shared.value)
+        for texts in batches:
+            yield pd.Series([tagger.redacted(t, mark) if isinstance(t, str) else None for t in texts], dtype=object)
+
+    return docs.withColumn(text, clean(F.col(text)))
+
+
 class Tagger:
     """Decodes texts with one field, remembering the words that cannot be part of a secret."""
 
@@ -334,6 +347,14 @@ class Tagger:
                     yield at + a, at + b
                 i = j
 
+    def redacted(self, text: str, mark: str) -> str:
+        out, at = [], 0
+        for span in self.spans(text):
+            if span["start"] > at or not out:
+                out += [text[at:span["start"]], mark]
+            at = max(at, span["end"])
+        return "".join([*out, text[at:]])
+
     def spans(self, text: str) -> list[dict]:
         base = base_spans(text)
         taken = np.array(sorted((a, b) for a, b, _ in base)).reshape(-1, 2)
