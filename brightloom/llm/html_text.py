@@ -123,8 +123,9 @@ def common_lines(a: Sequence[int], b: Sequence[int]) -> list[bool]:
     return shared
 
 
-def line_hashes(page: str | None) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, t in lines(page)]
+def open_hashes(found: Sequence[tuple[str, str]]) -> list[int]:
+    """Of the lines that markup does not settle, 32 bits each."""
+    return [xxhash.xxh32_intdigest(t) - (1 << 31) for zone, t in found if zone == OPEN]
 
 
 def main_text(page: str | None, neighbour: Sequence[int] | None) -> str:
@@ -133,15 +134,15 @@ def main_text(page: str | None, neighbour: Sequence[int] | None) -> str:
     inside = [t for zone, t in found if zone == INSIDE]
     if inside:
         return "\n\n".join(inside)
-    shared = [False] * len(found)
-    if neighbour is not None and len(neighbour):
-        shared = common_lines([xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, t in found], list(neighbour))
-    return "\n\n".join(t for (zone, t), s in zip(found, shared) if zone == OPEN and not s)
+    open_ = [t for zone, t in found if zone == OPEN]
+    if neighbour is None or not len(neighbour):
+        return "\n\n".join(open_)
+    return "\n\n".join(t for t, shared in zip(open_, common_lines(open_hashes(found), list(neighbour))) if not shared)
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _hashes(pages: pd.Series) -> pd.Series:
-    return pd.Series([line_hashes(p) for p in pages], dtype=object)
+    return pd.Series([open_hashes(lines(p)) for p in pages], dtype=object)
 
 
 @F.pandas_udf(T.StringType())
