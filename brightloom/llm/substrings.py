@@ -25,7 +25,9 @@ OFFSETS = LENGTH - ANCHOR + 1  # places of an anchor in a string: 31, one bit ea
 LEFT = OFFSETS - 1
 CONTEXT = LEFT + LENGTH
 #: Bytes of text for each bucket, and anchors that a task holds before it hands them on.
-BUCKET_BYTES, FLUSH = 6_000_000, 400_000
+BUCKET_BYTES, FLUSH = 6_000_000, 200_000
+#: Bytes or suffixes that are worked on at a time.
+PIECE = 200_000
 _LAST = (1 << 63) - 1
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 COPY, PLACE, MASK, SUFFIX = range(4)
@@ -221,10 +223,9 @@ def _anchor_rows(buckets: int):
 
         for batch in batches:
             batch = batch.sort_values("order", kind="stable").drop_duplicates("text")
-            texts = [t.encode("utf-8", "replace") for t in batch["text"]]
-            orders = batch["order"].to_numpy(np.int64)
-            for part in pieces(texts):
-                h, text, place = anchors(texts[part])
+            texts, orders = batch["text"].tolist(), batch["order"].to_numpy(np.int64)
+            for part in pieces(texts, PIECE):
+                h, text, place = anchors([t.encode("utf-8", "replace") for t in texts[part]])
                 held.append((h, orders[part][text], place.astype(np.uint32)))
                 size += len(h)
                 if size > FLUSH:
@@ -301,15 +302,16 @@ def _suffixes(splitters: np.ndarray):
             fits = place < sizes[row]
             row, place = row[fits], place[fits]
             owner = frame["order"].to_numpy(np.int64)[row]
-            for a in range(0, len(row), 200_000):
-                rows += _suffix_rows(buffer, first, sizes, row[a:a + 200_000], place[a:a + 200_000], owner[a:a + 200_000], splitters, bucket)
+            for a in range(0, len(row), PIECE):
+                part = slice(a, a + PIECE)
+                rows += _suffix_rows(buffer, first, sizes, row[part], place[part], owner[part], splitters, bucket)
         return pd.DataFrame(rows, columns=_COLUMNS)
 
     return run
 
 
 def _suffix_rows(buffer, first, sizes, row, place, owner, splitters, bucket: int) -> Iterator[tuple]:
-    context = buffer[(first[row] + place)[:, None] + np.arange(-LEFT, LENGTH)]
+    context = np.lib.stride_tricks.sliding_window_view(buffer, CONTEXT)[first[row] + place - LEFT]
     before, after = np.minimum(place, LEFT), np.minimum(sizes[row] - place, LENGTH)
     full = np.concatenate([context, before[:, None].astype(np.uint8), after[:, None].astype(np.uint8)], axis=1)
     _, which = np.unique(np.ascontiguousarray(full).view(f"V{full.shape[1]}").ravel(), return_inverse=True)
