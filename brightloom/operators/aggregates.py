@@ -177,17 +177,17 @@ def profile(df: DataFrame, target: str | None = None) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Counts in equal bins between minimum and maximum; the top value counts in the last bin."""
+    """Counts in equal bins between minimum and maximum, empty ones too; the top value counts in the last bin."""
     x = F.col(column).cast("double")
     low, high = df.agg(F.min(x), F.max(x)).first()
     if low is None:
         return df.sparkSession.createDataFrame([], "bin bigint, low double, n bigint")
     width = (high - low) / bins or 1.0
     number = F.least(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("bigint")
-    return (
-        df.filter(x.isNotNull()).groupBy(number.alias("bin")).agg(F.count("*").alias("n"))
-        .select("bin", (F.lit(low) + F.col("bin") * F.lit(width)).alias("low"), "n")
-    )
+    counts = df.filter(x.isNotNull()).groupBy(number.alias("bin")).agg(F.count("*").alias("n"))
+    every = df.sparkSession.range(bins).withColumnRenamed("id", "bin").join(counts, "bin", "left")
+    return every.select(
+        "bin", (F.lit(low) + F.col("bin") * F.lit(width)).alias("low"), F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
 def class_priors(df: DataFrame, label: str) -> DataFrame:

@@ -16,16 +16,16 @@ def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
 
 
 def binary_counts(df: DataFrame, label: str, predicted: str, positive=1) -> DataFrame:
-    """True and false positives and negatives, one row."""
-    yes, said = F.col(label) == F.lit(positive), F.col(predicted) == F.lit(positive)
+    """True and false positives and negatives, one row. A missing label or prediction is not positive."""
+    yes, said = (F.col(c).eqNullSafe(F.lit(positive)) for c in (label, predicted))
     return df.agg(
         F.count_if(yes & said).alias("tp"), F.count_if(~yes & said).alias("fp"),
         F.count_if(yes & ~said).alias("fn"), F.count_if(~yes & ~said).alias("tn"))
 
 
 def accuracy(df: DataFrame, label: str, predicted: str) -> DataFrame:
-    """Share of right predictions and of wrong ones (zero-one loss)."""
-    right = F.avg((F.col(label) == F.col(predicted)).cast("double"))
+    """Share of right predictions and of wrong ones (zero-one loss) among labelled rows; no prediction is wrong."""
+    right = F.avg(F.when(F.col(label).isNotNull(), F.col(label).eqNullSafe(F.col(predicted)).cast("double")))
     return df.agg(right.alias("accuracy"), (1 - right).alias("zero_one_loss"))
 
 
@@ -104,9 +104,10 @@ def mean_squared_error(df: DataFrame, label: str, predicted: str) -> DataFrame:
 
 
 def r_squared(df: DataFrame, label: str, predicted: str) -> DataFrame:
-    """One minus squared error over variance, in one pass (variance from its own aggregate)."""
-    errors = F.sum(F.pow(F.col(label) - F.col(predicted), 2))
-    return df.agg((1 - F.try_divide(errors, F.var_pop(label) * F.count(label))).alias("r2"))
+    """One minus squared error over variance, in one pass over the rows that have both values."""
+    error = F.pow(F.col(label) - F.col(predicted), 2)
+    y = F.when(error.isNotNull(), F.col(label))
+    return df.agg((1 - F.try_divide(F.sum(error), F.var_pop(y) * F.count(y))).alias("r2"))
 
 
 def rule_quality(df: DataFrame, antecedent: Column, label: str, positive) -> DataFrame:

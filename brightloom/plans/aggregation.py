@@ -80,10 +80,15 @@ def value_frequencies(spark, sf_dir):
 
 
 @query("a11_cross_table", sql="""
-    SELECT p_brand, count(*) FILTER (p_type = 'ECONOMY') AS p_type_ECONOMY, count(*) FILTER (p_type = 'PROMO') AS p_type_PROMO,
-           count(*) FILTER (p_type = 'SMALL') AS p_type_SMALL FROM part GROUP BY p_brand""")
+    SELECT p_brand, count(*) FILTER (p_type = 'ECONOMY') AS p_type_ECONOMY, count(*) FILTER (p_type = 'LARGE') AS p_type_LARGE,
+           count(*) FILTER (p_type = 'MEDIUM') AS p_type_MEDIUM, count(*) FILTER (p_type = 'PROMO') AS p_type_PROMO,
+           count(*) FILTER (p_type = 'SMALL') AS p_type_SMALL, count(*) FILTER (p_type = 'STANDARD') AS p_type_STANDARD
+    FROM part GROUP BY p_brand""")
 def cross_table(spark, sf_dir):
-    return agg.cross_table(table(spark, sf_dir, "part"), "p_brand", "p_type", ["ECONOMY", "PROMO", "SMALL"])
+    """A column for each category of the data."""
+    part = table(spark, sf_dir, "part")
+    kinds = [r["p_type"] for r in part.select("p_type").distinct().orderBy("p_type").collect()]  # six fixed kinds of part
+    return agg.cross_table(part, "p_brand", "p_type", kinds)
 
 
 @query("a12_cross_table_margins", sql="""
@@ -154,9 +159,10 @@ def table_profile(spark, sf_dir):
 
 
 @query("a19_histogram", sql="""
-    SELECT CAST(least(floor((value - low) / width), 19) AS BIGINT) AS bin,
-           round(any_value(low) + CAST(least(floor((value - low) / width), 19) AS BIGINT) * any_value(width), 6) AS low, count(*) AS n
-    FROM events, (SELECT min(value) AS low, (max(value) - min(value)) / 20 AS width FROM events) GROUP BY bin""")
+    WITH s AS (SELECT min(value) AS low, (max(value) - min(value)) / 20 AS width FROM events),
+         c AS (SELECT CAST(least(floor((value - low) / width), 19) AS BIGINT) AS bin, count(*) AS n FROM events, s GROUP BY 1)
+    SELECT b.bin, round(low + b.bin * width, 6) AS low, coalesce(n, 0) AS n
+    FROM (SELECT unnest(range(20)) AS bin) b LEFT JOIN c USING (bin), s""")
 def histogram(spark, sf_dir):
     return agg.histogram(table(spark, sf_dir, "events"), "value", 20).withColumn("low", F.round("low", 6))
 

@@ -30,12 +30,12 @@ def events_stream(spark, sf_dir):
     return files.stream_files(spark, sf_dir, schema, files_per_trigger=None, name_filter="events.parquet")
 
 
-def replayed_events(spark, sf_dir, n_files: int = 5, fmt: str = "parquet"):
-    """Events written as several files and streamed one file per trigger."""
+def replayed_events(spark, sf_dir, fmt: str = "parquet"):
+    """Events written as files, one for each piece of the scan, and streamed."""
     events = table(spark, sf_dir, "events")
     path = scratch_path(spark, "replay")
-    files.replay_table(events, path, n_files, fmt=fmt)
-    return files.stream_files(spark, path, events.schema, fmt=fmt)
+    files.replay_table(events, path, fmt=fmt)
+    return files.stream_files(spark, path, events.schema, fmt=fmt, files_per_trigger=None)
 
 
 @query("t01_tumbling_window_count", sql=counts_sql(extra="HAVING count(*) > 2"))
@@ -84,20 +84,20 @@ def sensor_rows(df):
 
 
 def sensor_model(spark, sf_dir):
-    forest = RandomForestRegressor(labelCol="occupancy", numTrees=10, maxDepth=6, seed=7)
+    forest = RandomForestRegressor(labelCol="occupancy", numTrees=100, maxDepth=15, seed=7)
     return Pipeline(stages=[VectorAssembler(inputCols=SENSOR, outputCol="features"), forest]).fit(
         sensor_rows(table(spark, sf_dir, "events")))
 
 
 @query("t06_score_stream")
 def score_stream(spark, sf_dir):
-    stream = sensor_rows(replayed_events(spark, sf_dir, 3))
+    stream = sensor_rows(replayed_events(spark, sf_dir))
     return files.drain_to_table(scoring.score(sensor_model(spark, sf_dir), stream, ["event_id", "occupancy"]))
 
 
 @query("t07_running_confusion")
 def running_confusion(spark, sf_dir):
-    stream = sensor_rows(replayed_events(spark, sf_dir, 3))
+    stream = sensor_rows(replayed_events(spark, sf_dir))
     scored = scoring.score(sensor_model(spark, sf_dir), stream, ["occupancy"])
     return files.drain_to_table(scoring.running_confusion(scored, "occupancy"), mode="complete")
 
@@ -117,9 +117,9 @@ def processing_time(spark, sf_dir):
 
 @query("s17_file_stream", sql="SELECT event_id, event_type, value FROM events")
 def file_stream(spark, sf_dir):
-    """CSV files with a fixed schema, one per trigger."""
+    """CSV files with a fixed schema."""
     return files.drain_to_table(
-        replayed_events(spark, sf_dir, 3, fmt="csv").select("event_id", "event_type", "value"))
+        replayed_events(spark, sf_dir, fmt="csv").select("event_id", "event_type", "value"))
 
 
 @query("s18_memory_sink_complete", sql=counts_sql())

@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
 from brightloom.session import scratch_path
 
-WAIT_SECONDS = 600
-
 
 def stream_files(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
     files_per_trigger: int | None = 1, name_filter: str | None = None,
 ) -> DataFrame:
-    """A stream over the files of a folder, a given number of files per trigger."""
+    """A stream over the files of a folder; ``files_per_trigger`` cuts it into batches; with None one batch takes all files present."""
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -27,11 +25,18 @@ def stream_files(
 
 
 def replay_table(
-    df: DataFrame, path: str, files: int, order: Sequence[str | Column] = (), fmt: str = "parquet"
+    df: DataFrame, path: str, files: int | None = None, order: Sequence[str | Column] = (), fmt: str = "parquet"
 ) -> None:
-    """Write a table as ``files`` files to be streamed; with ``order`` each file holds one range of it."""
-    cut = df.repartitionByRange(files, *order) if order else df.repartition(files)
-    cut.write.mode("overwrite").format(fmt).option("header", True).save(path)
+    """Write a table as files to be streamed; with ``order`` each file holds one range of it.
+
+    Without ``files`` their number follows from the partitions of the table, or of the range sort.
+    """
+    count = [files] if files else []
+    if order:
+        df = df.repartitionByRange(*count, *order)
+    elif files:
+        df = df.repartition(files)
+    df.write.mode("overwrite").format(fmt).option("header", True).save(path)
 
 
 def _trigger(writer, every: str | None):
@@ -51,7 +56,7 @@ def table_sink(df: DataFrame, path: str, mode: str = "append", every: str | None
     """Start a stream into a Parquet table; rows go from the tasks to storage.
 
     Append mode adds the rows of each batch once. Complete mode writes each batch's
-    whole result to a folder of its own (``batch=N``); the newest one counts.
+    whole result to a folder of its own (``batch=N``) and then removes older ones but the last before it.
     """
     state = scratch_path(df.sparkSession, "stream-state")
     if mode == "append":
@@ -59,23 +64,41 @@ def table_sink(df: DataFrame, path: str, mode: str = "append", every: str | None
     else:
         def save(batch: DataFrame, number: int) -> None:
             batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+            for old, place in _batches(batch.sparkSession, path).items():
+                if old < number - 1:
+                    place.getFileSystem(batch.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
         writer = df.writeStream.outputMode(mode).foreachBatch(save)
     return _trigger(writer.option("checkpointLocation", state), every).start()
 
 
-def finish(stream) -> None:
-    """Wait until a stream that ends by itself has read all its input."""
-    if not stream.awaitTermination(WAIT_SECONDS):
+def finish(stream, seconds: int | None = None) -> None:
+    """Wait until a stream that ends by itself has read all its input; ``seconds`` bounds the wait if given."""
+    if seconds is None:
+        stream.awaitTermination()
+    elif not stream.awaitTermination(seconds):
         stream.stop()
         raise TimeoutError("the stream did not end in time")
 
 
-def newest_batch(spark: SparkSession, path: str) -> DataFrame:
-    """The result that a complete-mode ``table_sink`` wrote last."""
-    written = spark.read.parquet(path)
-    last = written.agg(F.max("batch")).first()[0]
-    return written.filter(F.col("batch") == last).drop("batch")
+def _batches(spark: SparkSession, path: str) -> dict[int, object]:
+    """The batch folders below ``path`` by number; none if the folder is not there."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return {}
+    found = {entry.getPath().getName(): entry.getPath() for entry in store.listStatus(folder)}
+    return {int(name.removeprefix("batch=")): place for name, place in found.items() if name.startswith("batch=")}
+
+
+def newest_batch(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The result that a complete-mode ``table_sink`` wrote last; with ``schema`` an empty table where there is none."""
+    found = _batches(spark, path)
+    if not found and schema is not None:
+        return spark.createDataFrame([], schema)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path}/batch={max(found)}")
 
 
 def drain_to_table(df: DataFrame, mode: str = "append") -> DataFrame:
@@ -83,4 +106,4 @@ def drain_to_table(df: DataFrame, mode: str = "append") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "stream-result")
     finish(table_sink(df, path, mode))
-    return spark.read.schema(df.schema).parquet(path) if mode == "append" else newest_batch(spark, path)
+    return spark.read.schema(df.schema).parquet(path) if mode == "append" else newest_batch(spark, path, df.schema)
