@@ -56,7 +56,7 @@ def test_posting_blocks_split_a_hot_key(spark):
     hot = sorted((r["block"], r["values"]) for r in blocks if r["key"] == 0)
     assert max(len(v) for _, v in hot) <= 100
     joined = [v for _, values in hot for v in values]
-    assert joined == sorted(joined) and len(joined) == 1020
+    assert joined == sorted(joined) and len(joined) == 1040
 
 
 def test_medians_of_odd_and_even_counts(spark):
