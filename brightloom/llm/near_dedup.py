@@ -3,7 +3,7 @@
 A register is the floor of a logarithm (base ``BASE``) of the least exponential variate of a set: registers of
 a union are the larger ones of its parts, and two sets agree in a register about as often as they
 are similar. Groups with an equal band are not spread into pairs: all members are compared with one of
-them, and only what that leaves in different components is compared pair by pair.
+them, and only what that leaves in different components is compared in blocks.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 #: Candidates are dropped where the data are so much likelier (in logs) below the threshold: five deviations.
 DOUBT = 12.5
+#: Shingles of a block (each document counts for 256 more), and of a slice of their table of occurrences.
+BLOCK, _SLICE = 1 << 19, 4096
 _MEMO = 400_000
 
 _DRAW = np.random.default_rng(7)
@@ -155,6 +157,81 @@ def _linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, perc
     return written(pairs.filter(similar("_a", "_b")).select("a", "b"), "links")
 
 
+def _counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of sets of ``left`` (rows) and of ``right`` (columns)."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    every = np.concatenate(left + right)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in left + right])
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    starts = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+    sizes = np.diff(np.r_[starts, len(every)])
+    # A value of one set alone is in no intersection.
+    shared = np.repeat(sizes > 1, sizes)
+    owner, value = owner[shared], np.repeat(np.cumsum(sizes > 1) - 1, sizes)[shared]
+    for at in range(0, int(value[-1]) + 1 if len(value) else 0, _SLICE):
+        a, b = np.searchsorted(value, [at, at + _SLICE])
+        held = np.zeros((len(left) + len(right), min(_SLICE, int(value[-1]) + 1 - at)), np.float32)
+        held[owner[a:b], value[a:b] - at] = 1
+        out += held[:len(left)] @ held[len(left):].T
+    return out
+
+
+def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between rows of different roots, one of block ``i`` and one of block ``j``."""
+    sides = []
+    for block in (rows["i"].iat[0], rows["j"].iat[0]):
+        part = rows[rows["block"] == block]
+        sets = [np.frombuffer(x, np.uint64) for x in part["found"]]
+        sides.append((part["rep"].to_numpy(), part["root"].to_numpy(), sets, np.array([len(x) for x in sets], np.int64)))
+    (ids_a, roots_a, sets_a, n_a), (ids_b, roots_b, sets_b, n_b) = sides
+    if not sets_a or not sets_b:
+        return rows.iloc[:0][["rep", "root"]].set_axis(["a", "b"], axis=1)
+    shared = _counts(sets_a, sets_b).astype(np.int64)
+    near = 100 * shared >= percent * (n_a[:, None] + n_b[None, :] - shared)
+    x, y = np.nonzero(near & (roots_a[:, None] != roots_b[None, :]))
+    return pd.DataFrame({"a": ids_a[x], "b": ids_b[y]})
+
+
+def _linked_in_blocks(apart: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """All links between members of one bucket that hang on different roots.
+
+    A bucket is cut into blocks of about ``BLOCK`` shingles, each row goes once to every pair of blocks that
+    its block is in, and the full shingle sets are intersected there. A pair of blocks gives its links alone, so
+    the rows grow with the square of the number of blocks, not of documents.
+    """
+    kind = dict(apart.dtypes)["rep"]
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _Hashes()
+        for batch in batches:
+            names, contents = batch["rep"].tolist(), batch["text"].tolist()
+            for run in pieces(contents):
+                found = [shingles(t, size, hashes).tobytes() for t in contents[run]]
+                yield pd.DataFrame({"rep": pd.Series(names[run], dtype=batch["rep"].dtype), "found": found})
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            for _, rows in batch.groupby(["key", "i", "j"], sort=False):
+                if held and (held[-1][["key", "i", "j"]].iloc[0] != rows[["key", "i", "j"]].iloc[0]).any():
+                    yield _block_links(pd.concat(held), percent)
+                    held = []
+                held.append(rows)
+        if held:
+            yield _block_links(pd.concat(held), percent)
+
+    weights = reps.select(F.col("doc_id").alias("rep"), (F.col("n_shingles") + 256).alias("_w"))
+    cuts = apart.join(weights, "rep").groupBy("key").agg(F.ceil(F.sum("_w") / BLOCK).cast("int").alias("n"))
+    placed = apart.join(written(cuts, "cuts"), "key").withColumn("block", F.pmod(F.xxhash64("rep"), "n").cast("int"))
+    placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    placed = placed.select("key", "rep", "root", "block", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"))
+    ids = apart.select("rep").distinct()
+    found = texts.withColumnRenamed("doc_id", "rep").join(ids, "rep", "left_semi").mapInPandas(sets, f"rep {kind}, found binary")
+    met = placed.join(written(found, "sets"), "rep").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return written(met.mapInPandas(compare, f"a {kind}, b {kind}").distinct(), "links")
+
+
 def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the buckets that span several components, with their root and the bucket's last member."""
     rooted = members.select("key", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
@@ -200,12 +277,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         links = links.unionByName(_linked(far, reps, texts, size, percent))
         roots = components(links)
         apart = _apart(members, roots)
-        # What is still apart, pair by pair.
-        left = apart.select("key", F.col("rep").alias("a"), F.col("root").alias("_ra"))
-        right = apart.select("key", F.col("rep").alias("b"), F.col("root").alias("_rb"))
-        rest = left.join(right, "key").filter("a < b AND _ra <> _rb").select("a", "b").distinct()
-        rest = rest.join(tried.unionByName(far), ["a", "b"], "left_anti")
-        more = _linked(rest, reps, texts, size, percent)
+        # What is still apart, in blocks: every two members of a bucket meet in a task, only links leave it.
+        more = _linked_in_blocks(apart, reps, texts, size, percent)
         if not more.isEmpty():
             roots = components(links.unionByName(more))
 
