@@ -102,3 +102,12 @@ def test_components_equal_union_find(spark):
             root[max(x, y)] = min(x, y)
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root if find(x) != x}
+
+
+def test_block_intersections_equal_plain_ones(monkeypatch):
+    monkeypatch.setattr(near_dedup, "_SLICE", 7)
+    draw = np.random.default_rng(3)
+    left, right = ([np.unique(draw.integers(0, 60, n)).astype(np.uint64) for n in draw.integers(1, 40, 12)] for _ in range(2))
+    expected = [[len(np.intersect1d(x, y)) for y in right] for x in left]
+    assert near_dedup._counts(left, right).astype(int).tolist() == expected
+    assert near_dedup._counts([np.array([1], np.uint64)], [np.array([2], np.uint64)]).tolist() == [[0.0]]
