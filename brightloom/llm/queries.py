@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightloom.llm import html_text, langid, licenses, mixing, near_dedup, neighbours, packing, quality, secrets, substrings
+from brightloom.llm import html_text, langid, licenses, merkle, mixing, near_dedup, neighbours, packing, quality, secrets, substrings
 from brightloom.plans.registry import query, table
 
 
@@ -77,3 +77,13 @@ def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License statements that documents hold."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_merkle_manifest", merkle.check_sql())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that its version has after tampering."""
+    found = merkle.check(table(spark, sf_dir, "documents"))
+    proof = F.sha2(F.array_join("siblings", "").cast("binary"), 256)
+    return found.select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", "root", proof.alias("proof_sha256"),
+        F.col("version_root").alias("folded_root"), (F.col("version_root") == F.col("root")).alias("verified"))
