@@ -187,7 +187,8 @@ def manifest(rows: DataFrame, key: str, group: str, digest: Column, changed: Col
     named = F.coalesce(F.concat(F.lit("+"), F.col(group).cast("string")), F.lit(""))  # "" is the null group
     differs = F.when(changed != digest, changed)
     leaves = rows.select(F.col(key).alias("key"), named.alias("group"), digest.alias("digest"), differs.alias("changed"))
-    numbered = with_group_position(leaves, ["group"], [F.col("key").asc_nulls_first(), "digest"], "place")
+    # Written first: the sort reads its input twice, and the texts are far larger than their digests.
+    numbered = with_group_position(written(leaves, "digests"), ["group"], [F.col("key").asc_nulls_first(), "digest"], "place")
     levels = rounds(written(numbered, "leaves"), height)
     subroots = with_position(levels[-1].select(F.col("group").alias("name"), "digest"), ["name"], "place")
     groups = rounds(written(subroots.select(F.lit("").alias("group"), "place", "digest", "name"), "subroots"), height)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brightloom.llm import html_text, langid, licenses, merkle, mixing, near_dedup, neighbours, packing, quality, secrets, substrings
+from brightloom.llm import html_text, langid, licenses, merkle, mixing, near_dedup, neighbours, packing, prefixes, quality, secrets, substrings, warc
 from brightloom.plans.registry import query, table
 
 
@@ -87,3 +87,18 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.col("digest").alias("leaf"), "subroot", "root", proof.alias("proof_sha256"),
         F.col("version_root").alias("folded_root"), (F.col("version_root") == F.col("root")).alias("verified"))
+
+
+@query("op12_warc", warc.check_sql())
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives it was written to."""
+    read = warc.archived_pages(table(spark, sf_dir, "pages"))
+    return read.select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@query("op13_prefix_trie", prefixes.check_sql())
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefixes.trie(table(spark, sf_dir, "conversations"))
