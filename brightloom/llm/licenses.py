@@ -3,7 +3,9 @@
 A window is four neighbouring word shingles; windows begin at every second shingle. Each of the bands holds one
 minimum, so a template of one shingle in a window meets it in a band with a probability of
 1 - (3/4) ** 32 = 0.9999, one of two or more shingles almost surely, and one with five intact shingles in
-a row for certain. Only native expressions are used; nothing is shuffled before the matches.
+a row for certain. A band key is the masked hash of one shingle of a template, so texts without any such shingle
+meet no key and their windows are not worked out. Only native expressions are used; nothing is shuffled before
+the matches.
 """
 
 from __future__ import annotations
@@ -56,9 +58,13 @@ def license_words(text: Column) -> Column:
 
 
 def _shingle_hashes(words: Column) -> Column:
-    return F.slice(
-        F.transform(words, lambda _, i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)])),
-        F.lit(1), F.greatest(F.size(words) - (SHINGLE - 1), F.lit(0)))
+    """Hashes of the shingles; every word is hashed once."""
+    def of_hashes(hashes: Column) -> Column:
+        return F.slice(
+            F.transform(hashes, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, SHINGLE)])),
+            F.lit(1), F.greatest(F.size(hashes) - (SHINGLE - 1), F.lit(0)))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)
 
 
 def _shingles(words: Column) -> Column:
@@ -122,8 +128,13 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
             F.array(*[F.struct(F.lit(b).alias("band"), _minimum(hashes, s, mask).alias("key")) for b, mask in enumerate(MASKS)]),
             lambda x: x["key"].isNotNull())))
 
+    shingles = sorted({key ^ mask for mask, some in zip(MASKS, keys) for key in some}) if known else [0]
+
+    def hits_of_words(hashes: Column) -> Column:
+        return F.when(F.exists(hashes, lambda h: h.isin(*shingles)), hits(hashes))
+
     words = license_words(F.col("text"))
-    found = base.withColumn("hits", let(words, lambda w: let(_shingle_hashes(w), hits))).filter(F.size("hits") > 0)
+    found = base.withColumn("hits", let(words, lambda w: let(_shingle_hashes(w), hits_of_words))).filter(F.size("hits") > 0)
     lookup = table.select("template", F.posexplode("bands").alias("band", "keys")).select("template", "band", F.explode("keys").alias("key"))
     by_key = F.map_from_entries(F.collect_list(F.struct("at", "names")))
     names = lookup.groupBy(F.struct("band", "key").alias("at")).agg(F.collect_set("template").alias("names")).agg(by_key.alias("by_key"))
