@@ -221,4 +221,5 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "lang
                     score[which] = np.minimum(share, 1.0)
             yield pd.DataFrame({"lang": lang, "score": score})
 
-    return docs.withColumn(out, predict(F.col(text)))
+    # Spark may work out a deterministic column again for every filter on it.
+    return docs.withColumn(out, predict.asNondeterministic()(F.col(text)))

@@ -19,7 +19,16 @@ def steps(spark, sf_dir):
     out = [table(spark, sf_dir, "documents").cache()]
     for _, stage in pipeline.STAGES:
         out.append(stage(spark, out[-1], sf_dir).cache())
-    return [d.collect() for d in out]
+    rows = [d.collect() for d in out]
+    for d in out:  # later tests plan without these
+        d.unpersist()
+    return rows
+
+
+def test_language_stage_scores_every_text_once(spark, sf_dir):
+    found = pipeline.identify_language(spark, table(spark, sf_dir, "documents"), sf_dir)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") + plan.count("MapInPandas") == 1
 
 
 def test_stages_are_the_named_ones():
