@@ -190,7 +190,8 @@ def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     shared = _counts(sets_a, sets_b).astype(np.int64)
     near = 100 * shared >= percent * (n_a[:, None] + n_b[None, :] - shared)
     x, y = np.nonzero(near & (roots_a[:, None] != roots_b[None, :]))
-    return pd.DataFrame({"a": ids_a[x], "b": ids_b[y]})
+    links = pd.DataFrame({"a": ids_a[x], "b": ids_b[y], "from": roots_a[x], "to": roots_b[y]})
+    return links.drop_duplicates(["from", "to"])[["a", "b"]]  # one link joins two roots
 
 
 def _linked_in_blocks(apart: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
