@@ -107,10 +107,11 @@ def connected_vertices(spark, sf_dir):
     UNION ALL SELECT 'three hops', count(*) FROM {CHAIN_SQL} ab JOIN {CHAIN_SQL} bc ON ab.dst = bc.src
     JOIN {CHAIN_SQL} cd ON bc.dst = cd.src""")
 def motif_counts(spark, sf_dir):
+    """Counted by degrees; no path is built."""
     lonely = graph.without_reverse(supplier_edges(spark, sf_dir))
-    paths = graph.three_hop_paths(chain_edges(spark, sf_dir))
+    paths = graph.three_hop_count(chain_edges(spark, sf_dir))
     return lonely.agg(F.lit("no reverse").alias("motif"), F.count("*").alias("n")).union(
-        paths.agg(F.lit("three hops").alias("motif"), F.count("*").alias("n")))
+        paths.select(F.lit("three hops").alias("motif"), "n"))
 
 
 HOPS_SQL = f"""
@@ -133,8 +134,9 @@ def shortest_hops(spark, sf_dir):
 
 @query("g07_four_hops_away", sql=HOPS_SQL + " SELECT id FROM hops WHERE landmark = 20 AND hops = 4")
 def four_hops_away(spark, sf_dir):
-    """Vertices exactly four hops from region 2, read from the distance map."""
-    distances = graph.hop_map(region_hops(spark, sf_dir))
+    """Vertices exactly four hops from region 2, read from the distance map of that one landmark."""
+    region = table(spark, sf_dir, "region").filter("r_regionkey = 2").select(graph.with_key(REGION, F.col("r_regionkey")).alias("id"))
+    distances = graph.hop_map(graph.shortest_hops(chain_edges(spark, sf_dir), region, max_rounds=4))
     return distances.filter(F.try_element_at("distances", F.lit(str(2 * 10 + REGION))) == 4).select("id")
 
 
