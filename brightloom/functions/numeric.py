@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -56,63 +56,58 @@ def manhattan(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0.0), lambda s, d: s + d)
 
 
-# Primes tried first, so that most composites never build a divisor list.
-SMALL_PRIMES = [2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31]
-
-
-def is_prime(n: Column) -> Column:
-    """Whether a whole number is prime, by trial division inside the row (no join, no shuffle)."""
-    small = n.isin(SMALL_PRIMES)
-    divisible = n % SMALL_PRIMES[0] == 0
-    for p in SMALL_PRIMES[1:]:
-        divisible = divisible | (n % p == 0)
-    last = F.floor(F.sqrt(n)).cast("bigint")
-    # Only odd divisors from 37 on are left to try here; the sequence is empty below 37 * 37.
-    rest = F.exists(F.sequence(F.lit(37).cast("bigint"), last, F.lit(2).cast("bigint")), lambda d: n % d == 0)
-    return F.when(n < 2, False).when(small, True).when(divisible, False).when(n < 37 * 37, True).otherwise(~rest)
-
-
-# Bases for which the Miller-Rabin test has no exception among 64-bit numbers.
-WITNESSES = [2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37]
-
-
-def _passes_witnesses(n: int) -> bool:
-    """Miller-Rabin test of an odd number above the witnesses."""
-    twos = ((n - 1) & (1 - n)).bit_length() - 1
-    odd = (n - 1) >> twos
-    for w in WITNESSES:
-        x = pow(w, odd, n)
-        if x in (1, n - 1):
-            continue
-        if not any((x := x * x % n) == n - 1 for _ in range(twos - 1)):
-            return False
-    return True
-
-
-def _prime_batch(values: np.ndarray) -> np.ndarray:
-    """Small divisors for all values at once; the few that are left one by one."""
-    prime = np.isin(values, WITNESSES)
-    left = (values > WITNESSES[-1])
-    for w in WITNESSES:
-        left &= values % w != 0
-    prime[left] = [_passes_witnesses(int(v)) for v in values[left]]
+def _base_primes(most: int) -> Iterator[np.ndarray]:
+    """The primes up to ``most`` in runs of bounded length, each sieved by the primes before it."""
+    low, known = 2, np.zeros(0, np.int64)
+    while low <= most:
+        high = min(most, max(low * low - 1, 3), low + (1 << 20))
+        whole = np.ones(high - low + 1, dtype=bool)
+        for p in known[known <= math.isqrt(high)].tolist():
+            whole[max(p * p, -(-low // p) * p) - low::p] = False
+        found = np.flatnonzero(whole) + low
+        known = np.concatenate([known, found[found < 1 << 16]])  # enough for runs below 2 ** 32, the root of a long
+        yield found
+        low = high + 1
+
+
+def prime_mask(values: np.ndarray) -> np.ndarray:
+    """Which whole numbers are prime: the range they span is sieved where it is short, else each is divided by all primes to its root.
+
+    Works on whole arrays; memory follows from the number of values.
+    """
+    values = np.asarray(values, dtype=np.int64)
+    prime = values >= 2
+    if not prime.any():
+        return prime
+    low, high = int(values[prime].min()), int(values[prime].max())
+    root = math.isqrt(high)
+    if high - low < max(1 << 16, 8 * len(values)):
+        whole = np.ones(high - low + 1, dtype=bool)
+        for run in _base_primes(root):
+            for p in run.tolist():
+                whole[max(p * p, -(-low // p) * p) - low::p] = False
+        prime[prime] = whole[values[prime] - low]
+        return prime
+    for run in _base_primes(root):
+        for p in run.tolist():
+            prime &= (values % p != 0) | (values == p)
     return prime
 
 
-@F.pandas_udf(T.BooleanType())
-def prime_predicate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """The same test as an arbitrary Python predicate, over Arrow batches."""
-    for values in batches:
-        yield pd.Series(_prime_batch(values.to_numpy()))
+def array_predicate(test: Callable[[np.ndarray], np.ndarray]):
+    """Any Python test on arrays as a condition on a column; null is false."""
+    @F.pandas_udf(T.BooleanType())
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for values in batches:
+            out = np.zeros(len(values), dtype=bool)
+            present = values.notna().to_numpy()
+            if present.any():
+                out[present] = test(values[present].to_numpy())
+            yield pd.Series(out)
+
+    return run
 
 
 def typed_scalar(fn, result_type: T.DataType):
     """Wrap ``fn(series) -> series`` as a column function where no expression exists."""
     return F.pandas_udf(fn, result_type)
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    out = F.lit(True)
-    for c in conditions:
-        out = out & c
-    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from brightloom.functions import names, numeric
-from brightloom.operators import columns as cols
+from brightloom.operators import columns as cols, primes
 from brightloom.operators.positions import with_position
 from brightloom.plans.registry import query, table
 from brightloom.session import scratch_path
@@ -136,12 +136,13 @@ PRIME_SQL = """
 
 @query("c15_python_predicate", sql=PRIME_SQL.format(key="p_partkey", table="part"))
 def python_predicate(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey").filter(numeric.prime_predicate("p_partkey"))
+    """A test on whole arrays, written in Python."""
+    return table(spark, sf_dir, "part").select("p_partkey").filter(numeric.array_predicate(numeric.prime_mask)("p_partkey"))
 
 
 @query("c16_prime_keys", sql=PRIME_SQL.format(key="o_orderkey", table="orders"))
 def prime_keys(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey").filter(numeric.is_prime(F.col("o_orderkey")))
+    return primes.with_prime_key(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", ["o_orderkey"])
 
 
 @query("c17_celsius", sql="SELECT event_id, round((value - 32) * 5 / 9, 6) AS celsius FROM events")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brightloom.functions import names, numeric, text
 from brightloom.operators import aggregates, columns as cols, evaluate, graph, joins, ranking
+from brightloom.operators.primes import with_prime_key
 from brightloom.sources import readers
 
 # The ten training and ten test rows of the rule (index, refund, status, income, cheat).
@@ -75,19 +76,31 @@ def test_dice_duel(spark):
     assert joins.share_at_least(a, b, "v").first()["share"] == pytest.approx(4 / 9)
 
 
-def test_primes_by_expression_and_by_predicate(spark):
+def test_primes_by_sieve_and_by_predicate(spark):
     numbers = readers.number_range(spark, 100, 10_001, 3)
-    by_expression = numbers.filter(numeric.is_prime(F.col("id")))
-    by_predicate = numbers.filter(numeric.prime_predicate("id"))
-    assert by_expression.count() == 1204
-    assert by_expression.exceptAll(by_predicate).isEmpty() and by_predicate.count() == 1204
+    by_sieve = with_prime_key(numbers, "id", ["id"])
+    by_predicate = numbers.filter(numeric.array_predicate(numeric.prime_mask)("id"))
+    assert by_sieve.count() == 1204
+    assert by_sieve.exceptAll(by_predicate).isEmpty() and by_predicate.count() == 1204
 
 
 def test_small_primes(spark):
-    found = [r["id"] for r in spark.range(-3, 40).filter(numeric.is_prime(F.col("id"))).orderBy("id").collect()]
+    found = [r["id"] for r in with_prime_key(spark.range(-3, 40), "id", ["id"]).orderBy("id").collect()]
     assert found == [2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37]
 
 
+def test_primes_among_large_far_and_repeated_keys(spark):
+    large = [10**12 + i for i in range(200)] + [999_983 ** 2, 2**61 - 1 - 2**60, 1_000_003, 4, None] + [7] * 300
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(large)], "k long, n int")
+
+    def plain(k):
+        return k is not None and k > 1 and all(k % d for d in range(2, min(int(k**0.5) + 1, 2_000_000)))
+
+    keys = [k for k in large if k is None or k < 1 << 50]
+    got = sorted(r["k"] for r in with_prime_key(df.filter("k IS NULL OR k < 1125899906842624"), "k", ["n"]).collect())
+    assert got == sorted(k for k in keys if plain(k))
+
+
 def test_descriptive_statistics(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,), (10.0,)], "x double")
     row = aggregates.describe(df, ["x"]).first()
