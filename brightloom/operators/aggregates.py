@@ -53,11 +53,6 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stacked(df, columns).filter(F.col("value").isNotNull()).distinct()
 
 
-def cross_counts(df: DataFrame, row: str, column: str) -> DataFrame:
-    """Counts of value pairs in long form."""
-    return df.groupBy(row, column).agg(F.count("*").alias("n"))
-
-
 def cross_table(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
     """Counts with one column per given value of ``column``, zero where a pair does not occur."""
     return df.groupBy(row).agg(
@@ -156,24 +151,49 @@ def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
 
 
-def profile(df: DataFrame, target: str | None = None) -> DataFrame:
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact number of distinct non-null values of each column, in one pass over (column, value hash) pairs: (column, n_distinct).
+
+    Values are told apart by 128 bits of hash; repeats go before the shuffle.
+    """
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.xxhash64(F.col(c)).alias("h"), F.xxhash64(F.col(c), F.lit(c), F.lit(1)).alias("g"), F.col(c).isNotNull().alias("known"))
+        for c in columns]
+    values = df.select(F.inline(F.array(*cells))).filter("known").groupBy("column", "h", "g").agg(F.lit(1).alias("_one"))
+    return values.groupBy("column").agg(F.count("*").alias("n_distinct"))
+
+
+def _sketched(c: str, kind: str, size: int) -> Column:
+    value = F.col(c) if kind in ("int", "bigint", "string", "binary") else F.col(c).cast("string")
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(value, size)), F.lit(0).cast("bigint"))
+
+
+def profile(df: DataFrame, target: str | None = None, sketch: int | None = None) -> DataFrame:
     """One row per column: type, rows, non-null and distinct counts, smallest and largest value.
 
-    With a 0/1 ``target`` also its mean over the rows where the column is present.
+    With a 0/1 ``target`` also its mean over the rows where the column is present. Distinct values are
+    counted exactly, or with ``sketch`` (4 to 21) by mergeable sketches of ``2 ** sketch`` registers in the same
+    single row as all the rest, with a relative deviation of about ``1.04 / 2 ** (sketch / 2)``.
     """
     kinds = dict(df.dtypes)
 
     def one(c: str) -> Column:
         fields = [
-            F.lit(c).alias("column"), F.lit(kinds[c]).alias("type"), F.count("*").alias("n_rows"),
-            F.count(c).alias("n_present"), F.count_distinct(F.col(c)).alias("n_distinct"),
+            F.lit(c).alias("column"), F.lit(kinds[c]).alias("type"), F.count("*").alias("n_rows"), F.count(c).alias("n_present"),
             F.min(c).cast("string").alias("smallest"), F.max(c).cast("string").alias("largest"),
         ]
         if target:
             fields.append(F.avg(F.when(F.col(c).isNotNull(), F.col(target))).alias("target_rate"))
+        if sketch:
+            fields.append(_sketched(c, kinds[c], sketch).alias("n_distinct"))
         return F.struct(*fields)
 
-    return df.agg(F.array(*[one(c) for c in df.columns]).alias("p")).select(F.inline("p"))
+    rows = df.agg(F.array(*[one(c) for c in df.columns]).alias("p")).select(F.inline("p"))
+    if not sketch:
+        rows = rows.join(distinct_counts(df, df.columns), "column", "left").withColumn(
+            "n_distinct", F.coalesce("n_distinct", F.lit(0).cast("bigint")))
+    names = ["column", "type", "n_rows", "n_present", "n_distinct", "smallest", "largest"]
+    return rows.select(*names, *["target_rate"] * bool(target))
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

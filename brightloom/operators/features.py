@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PCA, Imputer, MinMaxScaler, StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brightloom.functions import text
-from brightloom.operators.partitions import spread
 from brightloom.operators.positions import with_position
+from brightloom.session import scratch_path
 
 
 def learn_codes(df: DataFrame, column: str, by: str = "frequency") -> DataFrame:
@@ -99,29 +101,62 @@ def with_ones(df: DataFrame, name: str = "ones") -> DataFrame:
     return df.select(F.lit(1.0).alias(name), "*")
 
 
+def _run_lengths(ordered: Column) -> Column:
+    """(term, n) of every distinct value of a sorted array."""
+    size = F.size(ordered)
+    places = F.filter(
+        F.transform(ordered, lambda x, i: F.when((i == 0) | (x != F.get(ordered, i - 1)), i)), lambda i: i.isNotNull())
+
+    def entries(starts: Column) -> Column:
+        return F.transform(starts, lambda at, j: F.struct(
+            F.get(ordered, at).alias("term"), (F.coalesce(F.get(starts, j + 1), size) - at).cast("bigint").alias("n")))
+
+    return text.once(places, entries)
+
+
 def term_counts(df: DataFrame, key: str, column: str) -> DataFrame:
-    """Counts of cleaned words and word pairs per text: (key, term, n). Repeats count."""
-    both = text.once(text.clean_words(F.col(column)), lambda w: F.concat(w, text.ngrams(w, 2)))
-    terms = spread(df.select(key, column)).select(key, F.explode(both).alias("term"))
-    # A join on the term would add this filter to its own side only; with it on every use of
-    # the counts their shuffle is the same everywhere and Spark runs it once.
-    return terms.filter(F.col("term").isNotNull()).groupBy(key, "term").agg(F.count("*").alias("n"))
+    """Cleaned words and word pairs of each text with their counts: (key, terms), ``terms`` an array of (term, n) by term.
+
+    Counted inside the row, so nothing is shuffled; a text without words has an empty array. The result is
+    written, so that the vocabulary and what is made with it share one cleaning of the texts.
+    """
+    both = text.once(text.clean_words(F.col(column)), lambda w: F.array_sort(F.concat(w, text.ngrams(w, 2))))
+    counted = df.select(key, F.coalesce(text.once(both, _run_lengths), F.array().cast("array<struct<term:string,n:bigint>>")).alias("terms"))
+    path = scratch_path(df.sparkSession, "terms")
+    counted.write.parquet(path)
+    return df.sparkSession.read.schema(counted.schema).parquet(path)
 
 
 def top_terms(counts: DataFrame, size: int) -> DataFrame:
     """The ``size`` most frequent terms over all texts (ties by term), with their text counts."""
-    totals = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count("*").alias("n_texts"))
+    totals = counts.select(F.inline("terms")).groupBy("term").agg(F.sum("n").alias("total"), F.count("*").alias("n_texts"))
     return totals.orderBy(F.desc("total"), "term").limit(size)
 
 
-def tfidf(counts: DataFrame, vocabulary: DataFrame, n_texts: int, key: str) -> DataFrame:
-    """Weights n * (ln((1 + texts) / (1 + texts with the term)) + 1), each text scaled to length 1.
+def tfidf(counts: DataFrame, vocabulary: DataFrame, n_texts: int) -> DataFrame:
+    """``counts`` with ``terms`` as (term, weight): n * (ln((1 + texts) / (1 + texts with the term)) + 1), each text scaled to length 1.
 
-    ``vocabulary`` comes from ``top_terms``, whose size the caller has set, so it is broadcast.
+    ``vocabulary`` comes from ``top_terms``, whose size the caller has set; its weights become part of the plan
+    and are looked up inside the row.
     """
-    idf = F.ln((F.lit(1.0) + n_texts) / (1 + F.col("n_texts"))) + 1
-    raw = counts.join(F.broadcast(vocabulary.select("term", idf.alias("idf"))), "term").select(
-        key, "term", (F.col("n") * F.col("idf")).alias("raw"))
-    # A group is one text's entries in the vocabulary, so at most the vocabulary's size.
-    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(key)))
-    return raw.select(key, "term", (F.col("raw") / length).alias("weight"))
+    rows = vocabulary.collect()
+    if not rows:
+        return counts.withColumn("terms", F.array().cast("array<struct<term:string,weight:double>>"))
+    idf = F.create_map(*[
+        x for r in rows for x in (F.lit(r["term"]), F.lit(math.log((1.0 + n_texts) / (1 + r["n_texts"])) + 1))])
+    known = F.filter("terms", lambda x: x["term"].isin([r["term"] for r in rows]))
+    raw = F.transform(known, lambda x: F.struct(x["term"].alias("term"), (x["n"] * idf[x["term"]]).alias("weight")))
+
+    def scaled(weights: Column) -> Column:
+        length = F.sqrt(F.aggregate(weights, F.lit(0.0), lambda s, x: s + x["weight"] * x["weight"]))
+        return text.once(length, lambda n: F.transform(weights, lambda x: F.struct(x["term"].alias("term"), (x["weight"] / n).alias("weight"))))
+
+    return counts.withColumn("terms", text.once(raw, scaled))
+
+
+def weight_vectors(weighed: DataFrame, vocabulary: Sequence[str], output: str = "features") -> DataFrame:
+    """``weighed`` with its terms as a vector over ``vocabulary``, for library models; terms that a text lacks are 0."""
+    def vector(held: Column) -> Column:
+        return F.transform(F.array(*[F.lit(t) for t in vocabulary]), lambda t: F.coalesce(F.try_element_at(held, t), F.lit(0.0)))
+
+    return weighed.withColumn(output, array_to_vector(text.once(F.map_from_entries("terms"), vector)))

@@ -1,12 +1,14 @@
-"""Exact nearest neighbours and the estimates made from them.
-
-No table of all pairs is built. Training vectors are grouped into cells around
-pivot vectors; the triangle inequality gives each query an upper bound for its
-k-th distance and rules out cells (pivot partitioning for k-NN joins, Lu et al.,
-VLDB 2012). What is left is compared in blocks of bounded size, hot cells being
-split into many blocks, and each block returns only the k best per query. Copies
-of one vector are collapsed first, so a vector that makes up a third of the rows
-is compared once.
+"""Nearest neighbours, exact or by hash tables, and the estimates made from them.
+
+No table of all pairs is built. In the exact form training vectors are grouped into cells around pivot
+vectors; the triangle inequality gives each query an upper bound for its k-th distance and rules out cells
+(pivot partitioning for k-NN joins, Lu et al., VLDB 2012). In many dimensions it rules out little, and the work
+grows with queries times rows. For large tables there are hash tables of random projections: a query meets the
+buckets it falls into and their neighbours, a number of rows that does not grow with the table.
+
+Either way vectors are carried along and compared in blocks of bounded size, hot cells being split into many
+blocks, and each block returns only the k best per query. Copies of one vector are collapsed first, so a vector
+that makes up a third of the rows is compared once.
 """
 
 from __future__ import annotations
@@ -20,8 +22,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from brightloom.operators.ranking import top_per_group
 from brightloom.session import checkpointed
 
-MAX_PIVOTS = 2048
-
 
 def _pairwise(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
     """Distances of all rows of ``a`` to all rows of ``b``, a slab of rows at a time."""
@@ -38,8 +38,8 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def _pivots(vectors: DataFrame, features: str, n: int) -> np.ndarray:
-    """One vector per hash bucket: at most MAX_PIVOTS rows, never repeated by copies."""
-    wanted = max(1, min(MAX_PIVOTS, math.isqrt(n)))
+    """One vector per hash bucket, about the root of ``n`` of them, never repeated by copies."""
+    wanted = max(1, math.isqrt(n))
     h = F.xxhash64(features)
     rows = vectors.groupBy(F.pmod(h, F.lit(wanted)).alias("b")).agg(F.min_by(features, h).alias("v")).collect()
     return np.array([r["v"] for r in sorted(rows, key=lambda r: r["b"])], dtype=float)
@@ -85,6 +85,31 @@ def _cells_to_search(
     return found.select(*queries.columns, F.col("_s.bound").alias("bound"), F.explode("_s.cells").alias("cell"))
 
 
+def _near_pairs(q: np.ndarray, t: np.ndarray, limit: np.ndarray, k: int, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and distance of the pairs within ``limit`` that may be among the ``k`` nearest of a row.
+
+    Straight-line distances are first estimated by one matrix product; only pairs that its rounding error does not
+    rule out are worked out exactly.
+    """
+    if p == 1:
+        d = _pairwise(q, t, p)
+        if len(t) > k:
+            limit = np.minimum(limit, np.partition(d, k - 1, axis=1)[:, k - 1])
+        row, col = np.nonzero(d <= limit[:, None])
+        return row, col, d[row, col]
+    squares, others = (q * q).sum(axis=1), (t * t).sum(axis=1)
+    rough = squares[:, None] + others[None, :] - 2.0 * (q @ t.T)
+    slack = 1e-12 * q.shape[1] * (squares + others.max())
+    most = limit * limit
+    if len(t) > k:
+        most = np.minimum(most, np.partition(rough, k - 1, axis=1)[:, k - 1] + slack)
+    row, col = np.nonzero(rough <= (most + slack)[:, None])
+    diff = q[row] - t[col]
+    d = np.sqrt((diff * diff).sum(axis=1))
+    keep = d <= limit[row]
+    return row[keep], col[keep], d[keep]
+
+
 def _block_best(k: int, p: int):
     """k best training rows per query of one block; ties go to the smaller id."""
 
@@ -98,67 +123,37 @@ def _block_best(k: int, p: int):
         parts = []
         step = max(1, 4_000_000 // len(t))
         for i in range(0, len(q), step):
-            d = _pairwise(q[i:i + step], t, p)
-            limit = bound[i:i + step]
-            if len(t) > k:
-                limit = np.minimum(limit, np.partition(d, k - 1, axis=1)[:, k - 1])
-            row, col = np.nonzero(d <= limit[:, None])
-            order = np.lexsort((tid[col], d[row, col], row))
-            row, col = row[order], col[order]
+            row, col, d = _near_pairs(q[i:i + step], t, bound[i:i + step], k, p)
+            order = np.lexsort((tid[col], d, row))
+            row, col, d = row[order], col[order], d[order]
             begin = np.searchsorted(row, row, side="left")
             keep = np.arange(len(row)) - begin < k
-            row, col = row[keep], col[keep]
             parts.append(pd.DataFrame({
-                "vector_id": qid[i:i + step][row], "train_id": tid[col], "distance": d[row, col]}))
+                "vector_id": qid[i:i + step][row[keep]], "train_id": tid[col[keep]], "distance": d[keep]}))
         return pd.concat(parts) if parts else empty
 
     return best
 
 
-def nearest_neighbours(
-    queries: DataFrame, train: DataFrame, k: int, query_id: str, train_id: str, features: str = "features",
-    p: int = 2, exclude_self: bool = False, block: int = 2048,
-) -> DataFrame:
-    """The ``k`` nearest training rows of every query: (query_id, train_id, distance, rank).
-
-    ``features`` holds a number array on both sides; ``p`` is 2 for straight-line and 1
-    for Manhattan distance. Equal distances rank by training id. With ``exclude_self`` a
-    row is not its own neighbour.
-    """
-    reach = k + 1 if exclude_self else k
+def _collapsed(train: DataFrame, train_id: str, features: str, reach: int) -> DataFrame:
+    """Training vectors as ``train_id, _v``; of equal ones only the smallest ids can be among the nearest."""
     rows = train.select(
         F.col(train_id).cast("bigint").alias("train_id"), F.col(features).cast("array<double>").alias("_v"))
-    # Of equal vectors only the smallest ids can be among the nearest.
-    kept = top_per_group(rows, ["_v"], [F.col("train_id")], reach, "_copy").drop("_copy")
-    kept = checkpointed(kept)
-    pivots = _pivots(kept, "_v", kept.count())
-    if len(pivots) == 0:
-        raise ValueError("no training rows")
-    placed = checkpointed(_with_cell(kept, "_v", pivots, p))
+    return checkpointed(top_per_group(rows, ["_v"], [F.col("train_id")], reach, "_copy").drop("_copy"))
 
-    # One row per cell and at most `reach` distances per cell, bounded by MAX_PIVOTS.
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("reach").alias("radius"))
-    kth_rows = top_per_group(placed.select("cell", "reach"), ["cell"], [F.col("reach")], reach).filter(
-        F.col("rank") == reach)
-    count, radius = np.zeros(len(pivots)), np.zeros(len(pivots))
-    kth = np.full(len(pivots), np.inf)
-    for r in cells.collect():
-        count[r["cell"]], radius[r["cell"]] = r["n"], r["radius"]
-    for r in kth_rows.collect():
-        kth[r["cell"]] = r["reach"]
 
-    asked = queries.select(
-        F.col(query_id).alias("_query"), F.col(features).cast("array<double>").alias("_v"))
-    vectors = asked.groupBy("_v").agg(F.min("_query").cast("bigint").alias("vector_id"))
-    wanted = checkpointed(_cells_to_search(vectors, "_v", pivots, count, radius, kth, reach, p))
+def _compared(wanted: DataFrame, placed: DataFrame, reach: int, p: int, block: int) -> DataFrame:
+    """Nearest training rows of each query within the cells that both are in: ``vector_id, train_id, distance``.
 
-    # Splits per cell, so that no block holds more than about `block` rows of either side.
+    ``wanted`` has ``cell, vector_id, bound, _v``, ``placed`` has ``cell, train_id, _v``. Cells are split so that no
+    block holds more than about ``block`` rows of either side.
+    """
     sizes = placed.groupBy("cell").agg(F.count("*").alias("n_train")).join(
         wanted.groupBy("cell").agg(F.count("*").alias("n_query")), "cell"
     ).select(
         "cell", F.ceil(F.col("n_train") / block).cast("int").alias("t_parts"),
         F.ceil(F.col("n_query") / block).cast("int").alias("q_parts"))
-    sizes = F.broadcast(sizes)
+    sizes = checkpointed(sizes)
 
     def numbers(n: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), n - 1))
@@ -178,11 +173,21 @@ def nearest_neighbours(
     block_key = ["cell", "q_part", "t_part"]
     found = left.groupBy(*block_key).cogroup(right.groupBy(*block_key)).applyInPandas(
         _block_best(reach, p), "vector_id bigint, train_id bigint, distance double")
-    best = top_per_group(found, ["vector_id"], [F.col("distance"), F.col("train_id")], reach, "_near").drop("_near")
+    # A pair may have met in several cells.
+    once = found.groupBy("vector_id", "train_id").agg(F.min("distance").alias("distance"))
+    return top_per_group(once, ["vector_id"], [F.col("distance"), F.col("train_id")], reach, "_near").drop("_near")
+
+
+def _asked(queries: DataFrame, query_id: str, features: str) -> tuple[DataFrame, DataFrame]:
+    """The queries, and their distinct vectors numbered by the smallest query."""
+    asked = queries.select(
+        F.col(query_id).alias("_query"), F.col(features).cast("array<double>").alias("_v"))
+    return asked, asked.groupBy("_v").agg(F.min("_query").cast("bigint").alias("vector_id"))
+
 
-    # Every query takes over the neighbours of its vector.
-    owner = asked.join(vectors, "_v").select("_query", "vector_id")
-    out = owner.join(best, "vector_id")
+def _answers(asked: DataFrame, vectors: DataFrame, best: DataFrame, k: int, query_id: str, exclude_self: bool) -> DataFrame:
+    """Every query takes over the neighbours of its vector."""
+    out = asked.join(vectors, "_v").select("_query", "vector_id").join(best, "vector_id")
     if exclude_self:
         out = out.filter(F.col("_query") != F.col("train_id"))
     out = top_per_group(out, ["_query"], [F.col("distance"), F.col("train_id")], k)
@@ -190,6 +195,111 @@ def nearest_neighbours(
         F.col("_query").alias(query_id), F.col("train_id"), "distance", F.col("rank").cast("bigint").alias("rank"))
 
 
+def _exact_best(vectors: DataFrame, kept: DataFrame, reach: int, p: int, block: int) -> DataFrame:
+    """The ``reach`` nearest rows of ``kept`` for every vector, by pivots."""
+    pivots = _pivots(kept, "_v", kept.count())
+    if len(pivots) == 0:
+        raise ValueError("no training rows")
+    placed = checkpointed(_with_cell(kept, "_v", pivots, p))
+
+    # One row per cell and at most `reach` distances per cell; there are as many cells as pivots.
+    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("reach").alias("radius"))
+    kth_rows = top_per_group(placed.select("cell", "reach"), ["cell"], [F.col("reach")], reach).filter(
+        F.col("rank") == reach)
+    count, radius = np.zeros(len(pivots)), np.zeros(len(pivots))
+    kth = np.full(len(pivots), np.inf)
+    for r in cells.collect():
+        count[r["cell"]], radius[r["cell"]] = r["n"], r["radius"]
+    for r in kth_rows.collect():
+        kth[r["cell"]] = r["reach"]
+    wanted = checkpointed(_cells_to_search(vectors, "_v", pivots, count, radius, kth, reach, p))
+    return _compared(wanted, placed, reach, p, block)
+
+
+def nearest_neighbours(
+    queries: DataFrame, train: DataFrame, k: int, query_id: str, train_id: str, features: str = "features",
+    p: int = 2, exclude_self: bool = False, block: int = 2048,
+) -> DataFrame:
+    """The ``k`` nearest training rows of every query: (query_id, train_id, distance, rank).
+
+    ``features`` holds a number array on both sides; ``p`` is 2 for straight-line and 1
+    for Manhattan distance. Equal distances rank by training id. With ``exclude_self`` a
+    row is not its own neighbour.
+    """
+    reach = k + 1 if exclude_self else k
+    asked, vectors = _asked(queries, query_id, features)
+    best = _exact_best(vectors, _collapsed(train, train_id, features, reach), reach, p, block)
+    return _answers(asked, vectors, best, k, query_id, exclude_self)
+
+
+class ProjectionTables:
+    """Several hash tables of random projections over a set of vectors.
+
+    In a table a vector falls into the bucket given by one bit for each of its random directions: whether its
+    projection is above the median, which is learned on at most ``sample`` distinct vectors. The number of bits
+    grows with the logarithm of the table, so that a bucket holds about ``bucket`` rows at any size.
+    """
+
+    def __init__(self, vectors: DataFrame, features: str, n: int, tables: int = 12, bucket: int = 256, sample: int = 20_000, seed: int = 7):
+        self.tables, self.bits = tables, max(0, math.ceil(math.log2(max(n, 1) / bucket)))
+        h = F.xxhash64(features)
+        part = vectors if n <= sample else vectors.filter(F.pmod(h, F.lit(1 << 30)) < int(sample / n * (1 << 30)))
+        rows = np.array([r[0] for r in part.select(features).collect()], dtype=float)
+        draw = np.random.default_rng(seed)
+        self.directions = draw.normal(size=(rows.shape[1], tables * self.bits)) if len(rows) else np.zeros((0, 0))
+        projected = rows @ self.directions if len(rows) else np.zeros((0, 0))
+        self.middle = np.median(projected, axis=0) if projected.size else np.zeros(0)
+        self.scale = np.maximum(projected.std(axis=0), 1e-300) if projected.size else np.zeros(0)
+
+    def codes(self, values: np.ndarray, probes: int) -> np.ndarray:
+        """The ``probes`` buckets of each vector in each table: its own, then those on the near side of the nearest medians."""
+        if not self.bits:
+            return np.zeros((len(values), 1), np.int64)
+        away = ((values @ self.directions - self.middle) / self.scale).reshape(len(values), self.tables, self.bits)
+        weight = np.int64(1) << np.arange(self.bits, dtype=np.int64)
+        own = ((away > 0) * weight).sum(axis=2)
+        flips = min(self.bits, max(0, math.ceil(math.log2(probes)) + 2)) if probes > 1 else 0
+        near = np.argsort(np.abs(away), axis=2)[:, :, :flips]
+        cost = np.take_along_axis(away, near, axis=2) ** 2
+        subsets = (np.arange(1 << flips)[:, None] >> np.arange(flips)) & 1
+        price = cost @ subsets.T.astype(float)
+        chosen = np.argsort(price, axis=2, kind="stable")[:, :, :probes]
+        flipped = (weight[near][:, :, None, :] * subsets[chosen]).sum(axis=3)
+        table = np.arange(self.tables, dtype=np.int64)[None, :, None] << np.int64(48)
+        return (table + (own[:, :, None] ^ flipped)).reshape(len(values), -1)
+
+    def placed(self, df: DataFrame, features: str, probes: int = 1) -> DataFrame:
+        """``df`` with a row for each bucket, numbered by ``cell``."""
+        @F.pandas_udf("array<bigint>")
+        def cells(v: pd.Series) -> pd.Series:
+            return pd.Series(list(self.codes(_matrix(v), probes)), dtype=object) if len(v) else pd.Series([], dtype=object)
+
+        return df.withColumn("cell", F.explode(cells.asNondeterministic()(features)))
+
+
+def hashed_neighbours(
+    queries: DataFrame, train: DataFrame, k: int, query_id: str, train_id: str, features: str = "features", p: int = 2,
+    exclude_self: bool = False, block: int = 2048, tables: int = 12, probes: int = 8, bucket: int = 256, seed: int = 7,
+) -> DataFrame:
+    """As :func:`nearest_neighbours`, of the rows that meet in a hash table; what it finds has exact distances.
+
+    A query is compared with about ``tables * probes * bucket`` rows, however many there are. Queries that find
+    fewer than ``k`` are answered exactly.
+    """
+    reach = k + 1 if exclude_self else k
+    asked, vectors = _asked(queries, query_id, features)
+    kept = _collapsed(train, train_id, features, reach)
+    n = kept.count()
+    hashed = ProjectionTables(kept, "_v", n, tables, bucket, seed=seed)
+    wanted = hashed.placed(vectors.withColumn("bound", F.lit(float("inf"))), "_v", probes)
+    best = checkpointed(_compared(wanted, hashed.placed(kept, "_v"), reach, p, block))
+    enough = best.groupBy("vector_id").agg(F.count("*").alias("n")).filter(F.col("n") >= min(reach, n))
+    short = checkpointed(vectors.join(enough, "vector_id", "left_anti"))
+    if not short.isEmpty():
+        best = best.join(short, "vector_id", "left_anti").unionByName(_exact_best(short, kept, reach, p, block))
+    return _answers(asked, vectors, best, k, query_id, exclude_self)
+
+
 def _with_target(neighbours: DataFrame, train: DataFrame, train_id: str, target: str) -> DataFrame:
     return neighbours.join(train.select(F.col(train_id).alias("train_id"), F.col(target).alias("_y")), "train_id")
 

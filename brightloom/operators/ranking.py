@@ -30,11 +30,30 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
 
 
-def ordered_split(df: DataFrame, order: Sequence[str | Column], test_share: float, tag: str = "split") -> DataFrame:
-    """Tag the first ``test_share`` of the rows in ``order`` as test, the rest as train."""
-    placed = with_position(df, order, "_at")
-    n_test = int(df.count() * test_share)
-    return placed.withColumn(tag, F.when(F.col("_at") < n_test, "test").otherwise("train")).drop("_at")
+def ordered_split(df: DataFrame, order: Sequence[str], test_share: float, tag: str = "split", accuracy: int = 10_000) -> DataFrame:
+    """Tag the first ``test_share`` of the rows in ascending ``order`` as test, the rest as train.
+
+    Only the last test row is looked for: a mergeable sketch of the first column brackets it, and the rows
+    inside the bracket alone are sorted. Rows alike in all of ``order`` stay together; nulls come first.
+    """
+    n = df.count()
+    n_test = int(n * test_share)
+    if not n_test:
+        return df.withColumn(tag, F.lit("train"))
+    first, share = F.col(order[0]), n_test / n
+    edges = [max(share - 2.0 / accuracy, 0.0), min(share + 2.0 / accuracy, 1.0)]
+    low, high = df.agg(F.percentile_approx(first, edges, accuracy)).first()[0] or (None, None)
+    inside, below = F.lit(True), 0
+    if low is not None:
+        near = first.between(F.lit(low), F.lit(high))
+        under, met = df.agg(F.count_if(first.isNull() | (first < F.lit(low))), F.count_if(near)).first()
+        if under < n_test <= under + met:
+            inside, below = near, under
+    placed = with_position(df.filter(inside).select(*order), [F.col(c).asc_nulls_first() for c in order], "_at")
+    last = placed.filter(F.col("_at") == n_test - 1 - below).first()
+    kinds = dict(df.dtypes)
+    border = F.struct(*[F.lit(last[c]).cast(kinds[c]).alias(c) for c in order])
+    return df.withColumn(tag, F.when(F.struct(*order) <= border, "test").otherwise("train"))
 
 
 def integer_hash(key: Column) -> Column:

@@ -13,6 +13,46 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, functions as F
 
 
+def _tree_nodes(model) -> list[tuple[int, float, int, int]]:
+    """(depth, prediction, parent, leaf number or -1) of every node of a tree model, parents first; leaves count from the left."""
+    found: list[tuple[int, float, int, int]] = []
+    waiting, leaves = [(model._call_java("rootNode"), 0, -1)], 0
+    while waiting:
+        node, depth, parent = waiting.pop()
+        inner = node.getClass().getSimpleName() == "InternalNode"
+        found.append((depth, float(node.prediction()), parent, -1 if inner else leaves))
+        if inner:
+            waiting += [(node.rightChild(), depth + 1, len(found) - 1), (node.leftChild(), depth + 1, len(found) - 1)]
+        else:
+            leaves += 1
+    return found
+
+
+def error_by_depth(model, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
+    """Error of a grown tree cut off at every depth from 1 to its own: (depth, train, test).
+
+    The tree is grown once and cut: a node above the cut predicts what it held when it was split. Rows are
+    counted by leaf and label in one pass each; the rest is worked out on the nodes.
+    """
+    nodes = _tree_nodes(model)
+    at = {leaf: i for i, (_, _, _, leaf) in enumerate(nodes) if leaf >= 0}
+    deepest = max(n[0] for n in nodes)
+    errors = []
+    for df in (train, test):
+        counts = model.transform(df).groupBy(model.getLeafCol(), label).agg(F.count("*").alias("n")).collect()
+        wrong, total = np.zeros(deepest + 1), sum(r["n"] for r in counts)
+        for leaf, own, n in counts:
+            i = at[int(leaf)]
+            depth = deepest
+            while i >= 0:
+                if nodes[i][1] != own:
+                    wrong[nodes[i][0]:depth + 1] += n
+                depth, i = nodes[i][0] - 1, nodes[i][2]
+        errors.append(wrong / max(total, 1))
+    rows = [(d, float(errors[0][d]), float(errors[1][d])) for d in range(min(1, deepest), deepest + 1)]
+    return train.sparkSession.createDataFrame(rows, "depth int, train double, test double")
+
+
 def error_by_value(
     make: Callable[[object], Estimator], values: Sequence, train: DataFrame, test: DataFrame, evaluator: Evaluator
 ) -> DataFrame:
@@ -95,9 +135,14 @@ def validation_curve(
     return df.sparkSession.createDataFrame(rows, "value double, train double, validation double")
 
 
-def elbow(df: DataFrame, ks: Sequence[int], features: str = "features", seed: int = 7) -> DataFrame:
-    """Clustering cost by number of clusters: (k, cost)."""
-    rows = []
-    for k in ks:
-        rows.append((k, float(KMeans(k=k, seed=seed, featuresCol=features).fit(df).summary.trainingCost)))
+def elbow(df: DataFrame, ks: Sequence[int], features: str = "features", seed: int = 7, tries: int = 3) -> DataFrame:
+    """Clustering cost by number of clusters, the least of ``tries`` starts for each: (k, cost)."""
+    df = df.select(features).persist()
+    try:
+        rows = []
+        for k in ks:
+            fits = [KMeans(k=k, seed=seed + i, featuresCol=features).fit(df) for i in range(tries)]
+            rows.append((k, min(float(m.summary.trainingCost) for m in fits)))
+    finally:
+        df.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, cost double")

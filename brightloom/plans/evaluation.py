@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from brightloom.operators import columns as cols, evaluate, ranking, tune
-from brightloom.plans.aggregation import SCORED_SQL, scored_documents
+from brightloom.operators import bayes, columns as cols, evaluate, linear, ranking, tune
+from brightloom.plans.aggregation import HASH_SQL, SCORED_SQL, scored_documents
 from brightloom.plans.column_operations import RETURNS_SQL, returns
-from brightloom.plans.models import vectors
+from brightloom.plans.models import (
+    PENALTIES, PENALTY_SQL, TEXTS_SQL, labelled_texts, multinomial_sql, priced_lines, shrunk, vectors,
+)
 from brightloom.plans.registry import query, table
 
 C_SQL = f"""c AS (SELECT count(*) FILTER (quality = 1 AND predicted = 1) AS tp, count(*) FILTER (quality = 0 AND predicted = 1) AS fp,
@@ -147,9 +151,171 @@ def tree(**settings):
 
 @query("h01_error_by_depth")
 def error_by_depth(spark, sf_dir):
-    df = ranking.hash_split(vectors(spark, sf_dir), "vec_id", 70).persist()
+    """Error of a fully grown tree cut off at every depth, on train and test."""
+    df = ranking.hash_split(vectors(spark, sf_dir), "vec_id", 70)
     train, test = df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test")
-    return tune.error_by_value(lambda d: tree(maxDepth=d), [2, 4, 6], train, test, accuracy_score())
+    model = tree(maxDepth=20, leafCol="leaf").fit(train)
+    return tune.error_by_depth(model, train, test, "label")
+
+
+SMOOTHINGS = [0.1, 1.0, 10.0, 100.0]
+#: Two folds from one hash of the number; the second is fixed inside the first.
+FOLD_SQL = f"floor({HASH_SQL.format(key='doc_id')} / 65536)"
+
+
+def text_folds(spark, sf_dir, outer: int, inner: int = 10):
+    rows, terms = labelled_texts(spark, sf_dir)
+    bucket = F.floor(ranking.integer_hash(F.col("doc_id")) / 65536).cast("long")
+    return rows.withColumns({"fold": bucket % outer, "inner_fold": F.floor(bucket / outer).cast("long") % inner}), terms
+
+
+def folds_sql(outer: int, inner: int = 10) -> str:
+    return f"""{TEXTS_SQL},
+    folded AS MATERIALIZED (SELECT doc_id, quality, train, CAST({FOLD_SQL} AS BIGINT) % {outer} AS fold,
+        CAST(floor({FOLD_SQL} / {outer}) AS BIGINT) % {inner} AS inner_fold FROM rows_)"""
+
+
+def fold_scores_sql(outer: int, smoothings, inner: int = 10) -> str:
+    """Tables up to ``fold_scores``: accuracy by fold and smoothing."""
+    return f"""{folds_sql(outer, inner)},
+    alphas AS (SELECT unnest([{', '.join(map(str, smoothings))}]::DOUBLE[]) AS alpha),
+    fit AS (SELECT alpha, held, f.* FROM folded f, (SELECT DISTINCT fold AS held FROM folded), alphas WHERE fold <> held),
+    {multinomial_sql('fit', 'alpha', 'alpha, held')},
+    scored AS (SELECT doc_id, quality, fold, p.alpha, p.class, p.prior + coalesce(sum(weight * log), 0) AS score
+        FROM folded JOIN priors p ON p.held = fold LEFT JOIN weights USING (doc_id)
+        LEFT JOIN logs l ON l.alpha = p.alpha AND l.held = p.held AND l.class = p.class AND l.term = weights.term
+        GROUP BY doc_id, quality, fold, p.alpha, p.class, p.prior),
+    guessed AS (SELECT doc_id, quality, fold, alpha, arg_min(class, (-score, class)) AS guess FROM scored GROUP BY ALL),
+    fold_scores AS MATERIALIZED (SELECT fold, alpha AS smoothing, avg(CAST(guess = quality AS INTEGER)) AS score FROM guessed GROUP BY fold, alpha)"""
+
+
+@query("h01_error_by_smoothing", sql=f"""
+    WITH {TEXTS_SQL}, alphas AS (SELECT unnest([{', '.join(map(str, SMOOTHINGS))}]::DOUBLE[]) AS alpha),
+    fit AS (SELECT alpha, r.* FROM rows_ r, alphas WHERE train), {multinomial_sql('fit', 'alpha', 'alpha')},
+    scored AS (SELECT doc_id, quality, train, p.alpha, p.class, p.prior + coalesce(sum(weight * log), 0) AS score
+        FROM rows_ CROSS JOIN priors p LEFT JOIN weights USING (doc_id)
+        LEFT JOIN logs l ON l.alpha = p.alpha AND l.class = p.class AND l.term = weights.term
+        GROUP BY doc_id, quality, train, p.alpha, p.class, p.prior),
+    guessed AS (SELECT doc_id, quality, train, alpha, arg_min(class, (-score, class)) AS guess FROM scored GROUP BY ALL)
+    SELECT alpha AS smoothing, round(avg(CAST(guess <> quality AS INTEGER)) FILTER (train), 9) AS train,
+        round(avg(CAST(guess <> quality AS INTEGER)) FILTER (NOT train), 9) AS test FROM guessed GROUP BY alpha""")
+def error_by_smoothing(spark, sf_dir):
+    """Error of text classification on train and test by smoothing."""
+    rows, terms = labelled_texts(spark, sf_dir)
+    rows = rows.select("doc_id", "terms", "quality", "split")
+    train, parts = rows.filter("split = 'train'"), []
+    for a in SMOOTHINGS:
+        guessed = bayes.MultinomialBayes(train, "quality", terms, smoothing=a).predict(rows, ["quality", "split"])
+        wrong = (F.col("predicted") != F.col("quality")).cast("double")
+        parts.append(guessed.agg(F.lit(a).alias("smoothing"), *[
+            F.round(F.avg(F.when(F.col("split") == part, wrong)), 9).alias(part) for part in ("train", "test")]))
+    return reduce(DataFrame.union, parts)
+
+
+@query("h03_smoothing_search", sql=f"""
+    WITH {fold_scores_sql(10, SMOOTHINGS)}
+    SELECT smoothing, round(avg(score), 9) AS mean, round(stddev_pop(score), 9) AS std FROM fold_scores GROUP BY smoothing""")
+def smoothing_search(spark, sf_dir):
+    """Ten folds and four smoothings from one pass of sums."""
+    rows, terms = text_folds(spark, sf_dir, 10)
+    scores = bayes.MultinomialFolds(rows, "quality", terms, ["fold"], SMOOTHINGS).scores()
+    return scores.groupBy("smoothing").agg(F.round(F.avg("score"), 9).alias("mean"), F.round(F.stddev_pop("score"), 9).alias("std"))
+
+
+@query("h04_text_fold_scores", sql=f"""
+    WITH {fold_scores_sql(31, [1.0])}, shown AS (SELECT CAST(fold AS VARCHAR) AS fold, score FROM fold_scores
+        UNION ALL SELECT 'mean', avg(score) FROM fold_scores UNION ALL SELECT 'std', stddev_pop(score) FROM fold_scores)
+    SELECT fold, round(score, 9) AS score FROM shown""")
+def text_fold_scores(spark, sf_dir):
+    """Accuracy on each of 31 folds, their mean and deviation."""
+    rows, terms = text_folds(spark, sf_dir, 31)
+    scores = bayes.MultinomialFolds(rows, "quality", terms, ["fold"], [1.0]).scores()
+    shown = scores.select(F.col("fold").cast("string").alias("fold"), "score").union(
+        scores.agg(F.lit("mean"), F.avg("score"))).union(scores.agg(F.lit("std"), F.stddev_pop("score")))
+    return shown.withColumn("score", F.round("score", 9))
+
+
+@query("h05_nested_smoothing_search", sql=f"""
+    WITH {fold_scores_sql(10, SMOOTHINGS)},
+    nfit AS (SELECT alpha, o AS out_, i AS in_, f.* FROM folded f, (SELECT DISTINCT fold AS o FROM folded),
+        (SELECT DISTINCT inner_fold AS i FROM folded), alphas WHERE fold <> o AND inner_fold <> i),
+    npriors AS (SELECT alpha, out_, in_, quality AS class, ln(count(*) / sum(count(*)) OVER (PARTITION BY alpha, out_, in_)) AS prior
+        FROM nfit GROUP BY alpha, out_, in_, quality),
+    nsums AS (SELECT alpha, out_, in_, quality AS class, term, sum(weight) AS s FROM nfit JOIN weights USING (doc_id) GROUP BY ALL),
+    ngrid AS (SELECT alpha, out_, in_, class, prior, term, coalesce(s, 0) + alpha AS s FROM npriors CROSS JOIN (SELECT term FROM vocabulary)
+        LEFT JOIN nsums USING (alpha, out_, in_, class, term)),
+    nlogs AS MATERIALIZED (SELECT alpha, out_, in_, class, prior, term, ln(s / sum(s) OVER (PARTITION BY alpha, out_, in_, class)) AS log FROM ngrid),
+    nscored AS (SELECT doc_id, quality, p.alpha, p.out_, p.in_, p.class, p.prior + coalesce(sum(weight * log), 0) AS score
+        FROM folded JOIN npriors p ON p.in_ = inner_fold AND p.out_ <> fold LEFT JOIN weights USING (doc_id)
+        LEFT JOIN nlogs l ON l.alpha = p.alpha AND l.out_ = p.out_ AND l.in_ = p.in_ AND l.class = p.class AND l.term = weights.term
+        GROUP BY doc_id, quality, p.alpha, p.out_, p.in_, p.class, p.prior),
+    nguessed AS (SELECT doc_id, quality, alpha, out_, in_, arg_min(class, (-score, class)) AS guess FROM nscored GROUP BY ALL),
+    neach AS (SELECT alpha, out_, in_, avg(CAST(guess = quality AS INTEGER)) AS score FROM nguessed GROUP BY ALL),
+    nmeans AS (SELECT alpha, out_, round(avg(score), 9) AS inner_score FROM neach GROUP BY alpha, out_),
+    nbest AS (SELECT out_ AS fold, arg_min(alpha, (-inner_score, alpha)) AS smoothing, max(inner_score) AS inner_score FROM nmeans GROUP BY out_)
+    SELECT fold, smoothing, inner_score, round(score, 9) AS score FROM nbest JOIN fold_scores USING (fold, smoothing)""")
+def nested_smoothing_search(spark, sf_dir):
+    """A search over smoothings on ten inner folds inside each of ten outer ones."""
+    rows, terms = text_folds(spark, sf_dir, 10, 10)
+    found = bayes.MultinomialFolds(rows, "quality", terms, ["fold", "inner_fold"], SMOOTHINGS).nested_scores()
+    return found.withColumn("score", F.round("score", 9))
+
+
+LINE_FOLDS = 15
+LINE_FOLD_SQL = f"CAST(floor({HASH_SQL.format(key='(l_orderkey * 10 + l_linenumber)')} / 65536) AS BIGINT) % {LINE_FOLDS}"
+
+
+def line_fold_moments(spark, sf_dir):
+    key = F.col("l_orderkey").cast("bigint") * 10 + F.col("l_linenumber")
+    fold = F.floor(ranking.integer_hash(key) / 65536).cast("long") % LINE_FOLDS
+    return linear.moments_by_fold(priced_lines(spark, sf_dir).withColumn("fold", fold), ["l_quantity"], "l_extendedprice", "fold")
+
+
+PENALTY_FOLDS_SQL = f"""
+    lines AS (SELECT l_quantity AS x, l_extendedprice AS y, {LINE_FOLD_SQL} AS fold FROM lineitem),
+    train AS (SELECT held, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS v, covar_pop(y, x) AS c
+        FROM lines, (SELECT DISTINCT fold AS held FROM lines) WHERE fold <> held GROUP BY held),
+    fits AS (SELECT 'lasso' AS kind, held, penalty, {shrunk('lasso')} AS b, mx, my FROM train, {PENALTY_SQL}
+        UNION ALL SELECT 'ridge', held, penalty, {shrunk('ridge')}, mx, my FROM train, {PENALTY_SQL}),
+    each AS (SELECT kind, penalty, held, avg(pow(y - my - b * (x - mx), 2)) FILTER (fold <> held) AS train_mse,
+        avg(pow(y - my - b * (x - mx), 2)) FILTER (fold = held) AS mse FROM lines, fits GROUP BY kind, penalty, held)"""
+
+
+def penalty_scores(spark, sf_dir):
+    moments = line_fold_moments(spark, sf_dir)
+    rows = [(kind, float(p), int(fold), train, held) for kind in ("lasso", "ridge") for p, fold, train, held in linear.penalty_search(moments, PENALTIES, kind)]
+    return spark.createDataFrame(rows, "kind string, penalty double, fold bigint, train_mse double, mse double")
+
+
+@query("h06_penalty_curve", sql=f"""
+    WITH {PENALTY_FOLDS_SQL}
+    SELECT kind, penalty, round(avg(train_mse) / 1e6, 6) AS train, round(avg(mse) / 1e6, 6) AS validation, round(stddev_pop(mse) / 1e6, 6) AS std
+    FROM each GROUP BY kind, penalty""")
+def penalty_curve(spark, sf_dir):
+    """Train and validation error of lasso and ridge over penalties on fifteen folds, from one pass over the lines."""
+    return penalty_scores(spark, sf_dir).groupBy("kind", "penalty").agg(
+        F.round(F.avg("train_mse") / 1e6, 6).alias("train"), F.round(F.avg("mse") / 1e6, 6).alias("validation"),
+        F.round(F.stddev_pop("mse") / 1e6, 6).alias("std"))
+
+
+@query("h08_best_penalty", sql=f"""
+    WITH {PENALTY_FOLDS_SQL}, means AS (SELECT kind, penalty, round(avg(mse) / 1e6, 9) AS error FROM each GROUP BY kind, penalty),
+    best AS (SELECT kind, arg_min(penalty, (error, penalty)) AS penalty FROM means GROUP BY kind),
+    m AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS v, covar_pop(y, x) AS c FROM lines),
+    fit AS (SELECT kind, penalty, CASE kind WHEN 'lasso' THEN {shrunk('lasso')} ELSE {shrunk('ridge')} END AS b, mx, my FROM best, m)
+    SELECT kind, penalty, round(my - b * mx, 3) AS intercept, round(b, 3) AS slope FROM fit""")
+def best_penalty(spark, sf_dir):
+    """The penalty with the least error over the folds, refitted on all lines."""
+    moments = line_fold_moments(spark, sf_dir)
+    whole, rows = reduce(linear.Moments.__add__, moments.values()), []
+    for kind in ("lasso", "ridge"):
+        errors: dict[float, list[float]] = {}
+        for p, _, _, held in linear.penalty_search(moments, PENALTIES, kind):
+            errors.setdefault(p, []).append(held)
+        best = min(errors, key=lambda p: (round(sum(errors[p]) / len(errors[p]) / 1e6, 9), p))
+        fit = linear.penalty_path(whole, [best], kind)[best]
+        rows.append((kind, float(best), round(fit.intercept, 3), round(float(fit.coefficients[0]), 3)))
+    return spark.createDataFrame(rows, "kind string, penalty double, intercept double, slope double")
 
 
 def tree_search(spark, sf_dir):
@@ -190,7 +356,7 @@ def validation_curve(spark, sf_dir):
 
 @query("h07_elbow")
 def elbow(spark, sf_dir):
-    return tune.elbow(vectors(spark, sf_dir).select("features").persist(), range(4, 20, 3))
+    return tune.elbow(vectors(spark, sf_dir).select("features"), range(4, 20))
 
 
 @query("h08_best_parameters")

@@ -12,9 +12,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from brightloom.operators import bayes, evaluate, features as feat, knn, linear
+from brightloom.operators import bayes, evaluate, features as feat, knn, linear, ranking
+from brightloom.plans.aggregation import HASH_SQL
 from brightloom.plans.column_operations import K_SQL, RETURNS_SQL, events_k, returns
 from brightloom.plans.joins_sets import embedded, embedding_neighbours, pairs_sql
+from brightloom.plans.preparation import COUNTS_SQL
 from brightloom.plans.registry import query, table
 from brightloom.plans.streams import SENSOR, sensor_rows
 
@@ -107,6 +109,14 @@ def categorical_bayes(spark, sf_dir, smoothing: float):
     return model.predict(rows, ["l_orderkey", "l_linenumber"]).withColumn("probability", F.round("probability", 9))
 
 
+@query("l08_hashed_neighbours")
+def hashed_neighbours(spark, sf_dir):
+    """Ten nearest others of every vector by hash tables of random projections, the form for large tables."""
+    rows = embedded(spark, sf_dir, "label")
+    near = knn.hashed_neighbours(rows.withColumnRenamed("id", "query"), rows, 10, "query", "id", exclude_self=True)
+    return near.select("query", F.col("train_id").alias("train"), "distance", "rank")
+
+
 @query("l09_categorical_bayes", sql=bayes_sql(0))
 def categorical_bayes_plain(spark, sf_dir):
     return categorical_bayes(spark, sf_dir, 0.0)
@@ -139,60 +149,134 @@ def vectors(spark, sf_dir):
         F.col("label").cast("double").alias("label"), (F.col("label") < 5).cast("double").alias("low_label"))
 
 
+def weighed_texts(spark, sf_dir, size: int = 100):
+    """Documents with TF-IDF weights over the ``size`` most frequent terms, and the terms in order; every document has a row."""
+    documents = table(spark, sf_dir, "documents")
+    counts = feat.term_counts(documents, "doc_id", "text")
+    top = feat.top_terms(counts, size)
+    return feat.tfidf(counts, top, documents.count()), sorted(r["term"] for r in top.collect())
+
+
+def labelled_texts(spark, sf_dir):
+    """Weighed texts with their quality label, dealt to train and test by number, and the terms."""
+    weighed, terms = weighed_texts(spark, sf_dir)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return ranking.hash_split(weighed.join(labels, "doc_id"), "doc_id", 70), terms
+
+
 @query("l11_library_bayes")
 def library_bayes(spark, sf_dir):
-    """Gaussian Bayes of the library on vectors, multinomial Bayes on term counts of labelled documents."""
-    df = vectors(spark, sf_dir)
-    gaussian = NaiveBayes(modelType="gaussian").fit(df).transform(df).select(
-        F.lit("gaussian").alias("model"), F.col("vec_id").alias("id"), "label", "prediction")
-    counts = feat.term_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
-    terms = [r["term"] for r in feat.top_terms(counts, 50).orderBy("term").collect()]
-    wide = counts.filter(F.col("term").isin(terms)).groupBy("doc_id").pivot("term", terms).agg(F.sum("n")).na.fill(0)
-    wide = wide.toDF("doc_id", *[f"t{i}" for i in range(len(terms))])
-    labelled = VectorAssembler(inputCols=wide.columns[1:], outputCol="features").transform(wide).join(
-        table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
-    multinomial = NaiveBayes(modelType="multinomial").fit(labelled).transform(labelled).select(
-        F.lit("multinomial").alias("model"), F.col("doc_id").alias("id"), "label", "prediction")
+    """Gaussian Bayes of the library on vectors, multinomial Bayes on the weights of labelled documents: fitted on train, scored on test."""
+    df = ranking.hash_split(vectors(spark, sf_dir), "vec_id", 70)
+    gaussian = NaiveBayes(modelType="gaussian").fit(df.filter("split = 'train'")).transform(df).select(
+        F.lit("gaussian").alias("model"), F.col("vec_id").alias("id"), "split", "label", "prediction")
+    rows, terms = labelled_texts(spark, sf_dir)
+    wide = feat.weight_vectors(rows, terms).withColumn("label", F.col("quality").cast("double"))
+    multinomial = NaiveBayes(modelType="multinomial").fit(wide.filter("split = 'train'")).transform(wide).select(
+        F.lit("multinomial").alias("model"), F.col("doc_id").alias("id"), "split", "label", "prediction")
     return gaussian.union(multinomial)
 
 
+TEXTS_SQL = f"""{COUNTS_SQL},
+    raw AS (SELECT doc_id, term, n * (ln((1.0::DOUBLE + (SELECT count(*) FROM documents)) / (1 + n_texts)) + 1) AS raw
+        FROM counts JOIN vocabulary USING (term)),
+    weights AS MATERIALIZED (SELECT doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM raw),
+    rows_ AS MATERIALIZED (SELECT doc_id, quality, floor({HASH_SQL.format(key='doc_id')} / 65536) % 100 < 70 AS train FROM labels
+        WHERE doc_id IN (SELECT doc_id FROM documents))"""
+
+
+def multinomial_sql(train: str, smoothing: str, extra: str = "") -> str:
+    """Log scores of all classes, learned on the rows that ``train`` names, per group of ``extra`` columns."""
+    keys = f"{extra}, " if extra else ""
+    return f"""
+    priors AS (SELECT {keys}quality AS class, ln(count(*) / sum(count(*)) OVER ({f'PARTITION BY {extra}' if extra else ''})) AS prior
+        FROM {train} GROUP BY {keys}quality),
+    sums AS (SELECT {keys}quality AS class, term, sum(weight) AS s FROM {train} JOIN weights USING (doc_id) GROUP BY {keys}quality, term),
+    grid AS (SELECT {keys}class, prior, term, coalesce(s, 0) + {smoothing} AS s FROM priors CROSS JOIN (SELECT term FROM vocabulary)
+        LEFT JOIN sums USING ({keys}class, term)),
+    logs AS MATERIALIZED (SELECT {keys}class, prior, term, ln(s / sum(s) OVER (PARTITION BY {keys}class)) AS log FROM grid)"""
+
+
+@query("l11_multinomial_bayes", sql=f"""
+    WITH {TEXTS_SQL}, fit AS (SELECT * FROM rows_ WHERE train), {multinomial_sql('fit', '1.0')},
+    scores AS (SELECT doc_id, quality, train, p.class, p.prior + coalesce(sum(weight * log), 0) AS score
+        FROM rows_ CROSS JOIN priors p LEFT JOIN weights USING (doc_id) LEFT JOIN logs l ON l.class = p.class AND l.term = weights.term
+        GROUP BY doc_id, quality, train, p.class, p.prior),
+    best AS (SELECT doc_id, quality, train, arg_min(class, (-score, class)) AS predicted, max(score) AS top FROM scores GROUP BY ALL)
+    SELECT doc_id, CASE WHEN train THEN 'train' ELSE 'test' END AS split, quality, predicted, round(1 / sum(exp(score - top)), 6) AS probability
+    FROM best JOIN scores USING (doc_id, quality, train) GROUP BY doc_id, train, quality, predicted""")
+def multinomial_bayes(spark, sf_dir):
+    """Quality of every labelled document from its TF-IDF weights, learned on the train part."""
+    rows, terms = labelled_texts(spark, sf_dir)
+    model = bayes.MultinomialBayes(rows.filter("split = 'train'"), "quality", terms)
+    return model.predict(rows, ["doc_id", "split", "quality"]).withColumn("probability", F.round("probability", 6))
+
+
 def scored(model, df, *keep):
     """Prediction and the probability of the predicted class."""
     return model.transform(df).select(
         *keep, "prediction", F.array_max(vector_to_array("probability")).alias("probability"))
 
 
+def split_vectors(spark, sf_dir):
+    """Vectors tagged train or test by number, and the train part."""
+    df = ranking.hash_split(vectors(spark, sf_dir), "vec_id", 70)
+    return df, df.filter(F.col("split") == "train")
+
+
 @query("l01_logistic_regression")
 def logistic_regression(spark, sf_dir):
-    df = vectors(spark, sf_dir)
-    return scored(LogisticRegression(labelCol="low_label").fit(df), df, "vec_id", "low_label")
+    df, train = split_vectors(spark, sf_dir)
+    return scored(LogisticRegression(labelCol="low_label").fit(train), df, "vec_id", "split", "low_label")
+
+
+LINE_SPLIT_SQL = f"floor({HASH_SQL.format(key='l_orderkey')} / 65536) % 100 < 70"
+
+
+@query("l01_two_group_logit", sql=f"""
+    WITH r AS (SELECT l_orderkey, l_linenumber, l_linenumber = 1 AS x, CAST(l_returnflag = 'R' AS INTEGER) AS y, {LINE_SPLIT_SQL} AS train FROM lineitem),
+    p AS (SELECT x, avg(y) FILTER (train) AS p FROM r GROUP BY x)
+    SELECT l_orderkey, l_linenumber, CASE WHEN train THEN 'train' ELSE 'test' END AS split, y,
+        CAST(p > 0.5 AS DOUBLE) AS prediction, round(p, 4) AS probability FROM r JOIN p USING (x)""")
+def two_group_logit(spark, sf_dir):
+    """With one 0/1 input the fitted probabilities are the shares within the two groups of the train part."""
+    rows = ranking.hash_split(table(spark, sf_dir, "lineitem"), "l_orderkey", 70).select(
+        "l_orderkey", "l_linenumber", "split", (F.col("l_linenumber") == 1).cast("double").alias("x"), (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    model = LogisticRegression(labelCol="y", tol=1e-12, maxIter=200).fit(rows.filter("split = 'train'"))
+    return model.transform(rows).select(
+        "l_orderkey", "l_linenumber", "split", "y", "prediction", F.round(vector_to_array("probability")[1], 4).alias("probability"))
 
 
 @query("l02_forest_regression")
 def forest_regression(spark, sf_dir):
     rows = VectorAssembler(inputCols=SENSOR, outputCol="features").transform(sensor_rows(table(spark, sf_dir, "events")))
-    model = RandomForestRegressor(labelCol="occupancy", numTrees=100, maxDepth=15, seed=7).fit(rows)
-    return model.transform(rows).select("event_id", "occupancy", "prediction")
+    rows = ranking.hash_split(rows, "event_id", 80)
+    model = RandomForestRegressor(labelCol="occupancy", numTrees=100, maxDepth=15, seed=7).fit(rows.filter("split = 'train'"))
+    return model.transform(rows).select("event_id", "split", "occupancy", "prediction")
 
 
 @query("l03_forest_classification")
 def forest_classification(spark, sf_dir):
-    df = vectors(spark, sf_dir)
-    return scored(RandomForestClassifier(numTrees=20, seed=7).fit(df), df, "vec_id", "label")
+    df, train = split_vectors(spark, sf_dir)
+    return scored(RandomForestClassifier(numTrees=100, maxDepth=10, seed=7).fit(train), df, "vec_id", "split", "label")
 
 
 @query("l04_tree_classification")
 def tree_classification(spark, sf_dir):
-    """Predictions with the depth the tree reached."""
-    df = vectors(spark, sf_dir)
-    model = DecisionTreeClassifier(maxDepth=8, seed=7).fit(df)
-    return scored(model, df, "vec_id", "label").withColumn("depth", F.lit(model.depth))
+    """Predictions of a fully grown tree with the depth it reached."""
+    df, train = split_vectors(spark, sf_dir)
+    model = DecisionTreeClassifier(maxDepth=20, seed=7).fit(train)
+    return scored(model, df, "vec_id", "split", "label").withColumn("depth", F.lit(model.depth))
 
 
 @query("l05_boosted_trees")
 def boosted_trees(spark, sf_dir):
-    df = vectors(spark, sf_dir)
-    return scored(GBTClassifier(labelCol="low_label", maxIter=10, seed=7).fit(df), df, "vec_id", "low_label")
+    df, train = split_vectors(spark, sf_dir)
+    return scored(GBTClassifier(labelCol="low_label", maxIter=20, seed=7).fit(train), df, "vec_id", "split", "low_label")
+
+
+LINE_INPUTS = ["l_quantity", "l_discount", "l_tax"]
 
 
 def priced_lines(spark, sf_dir):
@@ -214,13 +298,18 @@ def batch_gradient_descent(spark, sf_dir):
     ).withColumn("coefficient", F.round("coefficient", 3))
 
 
-@query("l13_stochastic_gradient_descent")
+@query("l13_stochastic_gradient_descent", sql="""
+    WITH s AS (SELECT (l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER () AS x, l_extendedprice AS y FROM lineitem)
+    SELECT 'intercept' AS term, round(regr_intercept(y, x), 3) AS coefficient, true AS converged FROM s
+    UNION ALL SELECT 'l_quantity', round(regr_slope(y, x), 3), true FROM s""")
 def stochastic_gradient_descent(spark, sf_dir):
+    """Mini-batch steps until they move nothing: the least squares fit."""
     lines = priced_lines(spark, sf_dir)
-    scaled = feat.learn_standard(lines, ["l_quantity", "l_discount"]).apply(lines)
-    beta = linear.stochastic_gradient_descent(scaled, ["l_quantity", "l_discount"], "l_extendedprice")
+    scaled = feat.learn_standard(lines, ["l_quantity"]).apply(lines)
+    found = linear.stochastic_gradient_descent(scaled, ["l_quantity"], "l_extendedprice")
     return spark.createDataFrame(
-        list(zip(["intercept", "l_quantity", "l_discount"], beta)), "term string, coefficient double")
+        [(t, b, found.converged) for t, b in zip(["intercept", "l_quantity"], found.coefficients)],
+        "term string, coefficient double, converged boolean").withColumn("coefficient", F.round("coefficient", 3))
 
 
 @query("l14_least_squares_table", sql="""
@@ -236,9 +325,8 @@ def least_squares_table(spark, sf_dir):
     return out.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
-def regression(spark, sf_dir, **settings):
-    """Price on three scaled columns; one row per fitted coefficient."""
-    names = ["l_quantity", "l_discount", "l_tax"]
+def regression(spark, sf_dir, names, **settings):
+    """Price on scaled columns; one row per fitted coefficient."""
     chain = Pipeline(stages=[
         VectorAssembler(inputCols=names, outputCol="raw"),
         StandardScaler(withMean=True, inputCol="raw", outputCol="features"),
@@ -249,16 +337,58 @@ def regression(spark, sf_dir, **settings):
         "term string, coefficient double")
 
 
+@query("l15_scaled_line", sql="""
+    WITH s AS (SELECT (l_quantity - avg(l_quantity) OVER ()) / stddev_samp(l_quantity) OVER () AS x, l_extendedprice AS y FROM lineitem)
+    SELECT 'intercept' AS term, round(regr_intercept(y, x), 3) AS coefficient FROM s
+    UNION ALL SELECT 'l_quantity', round(regr_slope(y, x), 3) FROM s""")
+def scaled_line(spark, sf_dir):
+    """Price on one scaled column."""
+    return regression(spark, sf_dir, ["l_quantity"]).withColumn("coefficient", F.round("coefficient", 3))
+
+
 @query("l15_scaled_regression")
 def scaled_regression(spark, sf_dir):
-    return regression(spark, sf_dir)
+    return regression(spark, sf_dir, LINE_INPUTS)
+
+
+#: Ten penalties between 0.001 and 1, evenly in logarithms, and some that shrink prices visibly.
+PENALTIES = [10 ** (-3 + i / 3) for i in range(10)] + [100.0, 1000.0, 10_000.0]
 
 
 @query("l16_lasso_and_ridge")
 def lasso_and_ridge(spark, sf_dir):
-    lasso = regression(spark, sf_dir, elasticNetParam=1.0, regParam=50.0).withColumn("penalty", F.lit("lasso"))
-    ridge = regression(spark, sf_dir, elasticNetParam=0.0, regParam=50.0).withColumn("penalty", F.lit("ridge"))
-    return lasso.union(ridge)
+    """Price on three inputs by lasso and ridge over a list of penalties, from one pass over the lines."""
+    moments = linear.moments_by_fold(priced_lines(spark, sf_dir), LINE_INPUTS, "l_extendedprice")[None]
+    rows = [
+        (kind, float(penalty), term, float(b))
+        for kind in ("lasso", "ridge") for penalty, fit in linear.penalty_path(moments, PENALTIES, kind).items()
+        for term, b in zip(["intercept", *LINE_INPUTS], [fit.intercept, *fit.coefficients])]
+    return spark.createDataFrame(rows, "kind string, penalty double, term string, coefficient double")
+
+
+PENALTY_SQL = f"(SELECT unnest([{', '.join(repr(p) for p in PENALTIES)}]::DOUBLE[]) AS penalty)"
+
+
+def shrunk(kind: str) -> str:
+    """Slope on the raw input for a penalty on the standardised one, from covariance ``c``, variance ``v`` and number ``n``."""
+    if kind == "ridge":
+        return "c * n / (v * (n + penalty))"
+    return "sign(c) * greatest(abs(c) / sqrt(v) - penalty, 0) / sqrt(v)"
+
+
+@query("l16_penalty_path", sql=f"""
+    WITH m AS (SELECT count(*) AS n, avg(l_quantity) AS mx, avg(l_extendedprice) AS my, var_pop(l_quantity) AS v,
+        covar_pop(l_extendedprice, l_quantity) AS c FROM lineitem),
+    fits AS (SELECT 'lasso' AS kind, penalty, {shrunk('lasso')} AS b, mx, my FROM m, {PENALTY_SQL}
+        UNION ALL SELECT 'ridge', penalty, {shrunk('ridge')}, mx, my FROM m, {PENALTY_SQL})
+    SELECT kind, penalty, round(my - b * mx, 3) AS intercept, round(b, 3) AS slope FROM fits""")
+def penalty_path(spark, sf_dir):
+    """With one input lasso is the soft threshold and ridge a shrinking of the slope."""
+    moments = linear.moments_by_fold(priced_lines(spark, sf_dir), ["l_quantity"], "l_extendedprice")[None]
+    rows = [(kind, float(p), fit.intercept, float(fit.coefficients[0]))
+            for kind in ("lasso", "ridge") for p, fit in linear.penalty_path(moments, PENALTIES, kind).items()]
+    return spark.createDataFrame(rows, "kind string, penalty double, intercept double, slope double").withColumns(
+        {c: F.round(c, 3) for c in ("intercept", "slope")})
 
 
 @query("l17_k_means")
@@ -273,10 +403,10 @@ def k_means(spark, sf_dir):
 @query("l18_model_scoring")
 def model_scoring(spark, sf_dir):
     """Predicted class with the probability of every class."""
-    df = vectors(spark, sf_dir)
+    df, train = split_vectors(spark, sf_dir)
     probabilities = vector_to_array("probability")
-    return RandomForestClassifier(labelCol="low_label", numTrees=10, seed=7).fit(df).transform(df).select(
-        "vec_id", "prediction", probabilities[0].alias("probability_0"), probabilities[1].alias("probability_1"))
+    return RandomForestClassifier(labelCol="low_label", numTrees=10, seed=7).fit(train).transform(df).select(
+        "vec_id", "split", "prediction", probabilities[0].alias("probability_0"), probabilities[1].alias("probability_1"))
 
 
 @query("l19_residuals", sql="""

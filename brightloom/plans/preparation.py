@@ -35,13 +35,21 @@ def codes_by_value(spark, sf_dir):
     return feat.apply_codes(orders, "o_orderpriority", codes, "priority_code").select("o_orderkey", "priority_code")
 
 
+def named_indicators(df, column, drop_first=False):
+    """The learned indicator vector taken apart into a column for each category."""
+    model = Indicators(inputCol=column, dropFirst=drop_first).fit(df)
+    cells = vector_to_array("indicators")
+    names = model.categories(df.sparkSession)
+    return model.transform(df).select(*df.columns, *[cells[i].cast("int").alias(f"{column}_{v}") for i, v in enumerate(names)])
+
+
 @query("m03_indicator_columns", sql="""
     SELECT o_orderkey, CAST(o_orderstatus = 'O' AS INTEGER) AS "o_orderstatus_O", CAST(o_orderstatus = 'P' AS INTEGER) AS "o_orderstatus_P"
     FROM orders""")
 def indicator_columns(spark, sf_dir):
     """The first category is left out."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return Indicators(inputCol="o_orderstatus", dropFirst=True).fit(orders).transform(orders).drop("o_orderstatus")
+    return named_indicators(orders, "o_orderstatus", drop_first=True).drop("o_orderstatus")
 
 
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -106,8 +114,8 @@ COUNTS_SQL = f"""
 def term_counts(spark, sf_dir):
     """Counts of the hundred most frequent words and word pairs in each document."""
     counts = feat.term_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
-    top = feat.top_terms(counts, 100)
-    return counts.join(F.broadcast(top.select("term")), "term", "left_semi").select("doc_id", "term", "n")
+    top = [r["term"] for r in feat.top_terms(counts, 100).collect()]
+    return counts.select("doc_id", F.inline(F.filter("terms", lambda x: x["term"].isin(top))))
 
 
 @query("m10_tfidf", sql=f"""
@@ -118,8 +126,8 @@ def term_counts(spark, sf_dir):
 def tfidf(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     counts = feat.term_counts(documents, "doc_id", "text")
-    weights = feat.tfidf(counts, feat.top_terms(counts, 100), documents.count(), "doc_id")
-    return weights.withColumn("weight", F.round("weight", 6))
+    weights = feat.tfidf(counts, feat.top_terms(counts, 100), documents.count())
+    return weights.select("doc_id", F.inline("terms")).withColumn("weight", F.round("weight", 6))
 
 
 @query("m11_principal_components")
@@ -130,6 +138,22 @@ def principal_components(spark, sf_dir):
         "vec_id", parts[0].alias("first"), parts[1].alias("second"))
 
 
+@query("m11_two_columns", sql="""
+    WITH m AS (SELECT avg(l_quantity) AS mx, avg(l_extendedprice) / 1000 AS my, var_samp(l_quantity) AS a,
+        var_samp(l_extendedprice) / 1e6 AS b, covar_samp(l_quantity, l_extendedprice) / 1000 AS c FROM lineitem),
+    t AS (SELECT *, atan2(2 * c, a - b) / 2 AS t FROM m)
+    SELECT l_orderkey, l_linenumber, round(abs(cos(t) * (l_quantity - mx) + sin(t) * (l_extendedprice / 1000 - my)), 6) AS first,
+        round(abs(cos(t) * (l_extendedprice / 1000 - my) - sin(t) * (l_quantity - mx)), 6) AS second FROM lineitem, t""")
+def two_columns(spark, sf_dir):
+    """Components of two columns: the distance along and across the main axis of their ellipse."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"))
+    df = feat.assemble(["x", "y"]).transform(lines)
+    parts = vector_to_array("components")
+    return feat.centred_pca("features", 2, "components").fit(df).transform(df).select(
+        "l_orderkey", "l_linenumber", F.round(F.abs(parts[0]), 6).alias("first"), F.round(F.abs(parts[1]), 6).alias("second"))
+
+
 @query("m12_random_split", sql=f"""
     SELECT o_orderkey, CASE WHEN floor({HASH_SQL.format(key='o_orderkey')} / 65536) % 100 < 80 THEN 'train' ELSE 'test' END AS split FROM orders""")
 def random_split(spark, sf_dir):
@@ -183,7 +207,7 @@ def own_transformer(spark, sf_dir):
     FROM (SELECT event_id, {AGE_SQL} AS a FROM (SELECT event_id, {K_SQL} AS k FROM events))""")
 def learned_indicators(spark, sf_dir):
     df = own_transformer(spark, sf_dir)
-    return Indicators(inputCol="age_class").fit(df).transform(df).drop("age_class")
+    return named_indicators(df, "age_class").drop("age_class")
 
 
 @query("x04_apply_python_function", sql="""
