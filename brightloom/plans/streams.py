@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from brightloom.plans.column_operations import events_k
@@ -30,12 +30,16 @@ def events_stream(spark, sf_dir):
     return files.stream_files(spark, sf_dir, schema, files_per_trigger=None, name_filter="events.parquet")
 
 
+BATCHES = 4
+
+
 def replayed_events(spark, sf_dir, fmt: str = "parquet"):
-    """Events written as files, one for each piece of the scan, and streamed."""
+    """Events written as files, one for each piece of the scan and four at least, and streamed in four batches."""
     events = table(spark, sf_dir, "events")
     path = scratch_path(spark, "replay")
-    files.replay_table(events, path, fmt=fmt)
-    return files.stream_files(spark, path, events.schema, fmt=fmt, files_per_trigger=None)
+    n = max(BATCHES, events.rdd.getNumPartitions())
+    files.replay_table(events, path, files=n, fmt=fmt)
+    return files.stream_files(spark, path, events.schema, fmt=fmt, files_per_trigger=-(-n // BATCHES))
 
 
 @query("t01_tumbling_window_count", sql=counts_sql(extra="HAVING count(*) > 2"))
@@ -95,6 +99,32 @@ def score_stream(spark, sf_dir):
     return files.drain_to_table(scoring.score(sensor_model(spark, sf_dir), stream, ["event_id", "occupancy"]))
 
 
+LINE_SQL = """
+    f AS (SELECT regr_slope(o, h) AS b, regr_intercept(o, h) AS a FROM (SELECT hour(ts) AS h, hour(ts) // 6 AS o FROM events)),
+    scored AS (SELECT event_id, CAST(hour(ts) // 6 AS BIGINT) AS occupancy, a + b * hour(ts) AS x FROM events, f),
+    classes AS (SELECT event_id, occupancy, CAST(CASE WHEN x < 0.5 THEN 0 WHEN x < 1.5 THEN 1 WHEN x < 2.5 THEN 2 ELSE 3 END AS BIGINT) AS predicted FROM scored)"""
+
+
+def sensor_line(spark, sf_dir):
+    """Occupancy by a straight line on the hour."""
+    rows = sensor_rows(table(spark, sf_dir, "events"))
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=["hour"], outputCol="features"), LinearRegression(labelCol="occupancy", solver="normal")]).fit(rows)
+
+
+@query("t06_score_stream_by_line", sql=f"WITH {LINE_SQL} SELECT event_id, occupancy, predicted FROM classes")
+def score_stream_by_line(spark, sf_dir):
+    stream = sensor_rows(replayed_events(spark, sf_dir))
+    return files.drain_to_table(scoring.score(sensor_line(spark, sf_dir), stream, ["event_id", "occupancy"]))
+
+
+@query("t07_running_confusion_by_line", sql=f"WITH {LINE_SQL} SELECT occupancy, predicted, count(*) AS n FROM classes GROUP BY occupancy, predicted")
+def running_confusion_by_line(spark, sf_dir):
+    """Counts carried on over the batches of the stream."""
+    scored = scoring.score(sensor_line(spark, sf_dir), sensor_rows(replayed_events(spark, sf_dir)), ["occupancy"])
+    return files.drain_to_table(scoring.running_confusion(scored, "occupancy"), mode="complete")
+
+
 @query("t07_running_confusion")
 def running_confusion(spark, sf_dir):
     stream = sensor_rows(replayed_events(spark, sf_dir))

@@ -11,11 +11,16 @@ from brightloom.session import scratch_path
 
 def stream_files(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-    files_per_trigger: int | None = 1, name_filter: str | None = None,
+    files_per_trigger: int | None = 1, name_filter: str | None = None, bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A stream over the files of a folder; ``files_per_trigger`` cuts it into batches; with None one batch takes all files present."""
+    """A stream over the files of a folder, cut into batches by number of files, or by their bytes.
+
+    With neither one batch takes all files present.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
-    if files_per_trigger:
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    elif files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if fmt == "csv":
         reader = reader.option("header", True)
@@ -25,7 +30,7 @@ def stream_files(
 
 
 def replay_table(
-    df: DataFrame, path: str, files: int | None = None, order: Sequence[str | Column] = (), fmt: str = "parquet"
+    df: DataFrame, path: str, files: int | None = None, order: Sequence[str | Column] = (), fmt: str = "parquet",
 ) -> None:
     """Write a table as files to be streamed; with ``order`` each file holds one range of it.
 
@@ -72,13 +77,17 @@ def table_sink(df: DataFrame, path: str, mode: str = "append", every: str | None
     return _trigger(writer.option("checkpointLocation", state), every).start()
 
 
-def finish(stream, seconds: int | None = None) -> None:
-    """Wait until a stream that ends by itself has read all its input; ``seconds`` bounds the wait if given."""
+def finish(stream, seconds: int | None = None) -> int:
+    """Wait until a stream that ends by itself has read all its input; the number of its batches.
+
+    ``seconds`` bounds the wait if given.
+    """
     if seconds is None:
         stream.awaitTermination()
     elif not stream.awaitTermination(seconds):
         stream.stop()
         raise TimeoutError("the stream did not end in time")
+    return stream.lastProgress["batchId"] + 1 if stream.lastProgress else 0
 
 
 def _batches(spark: SparkSession, path: str) -> dict[int, object]:

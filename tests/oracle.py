@@ -62,7 +62,7 @@ def differences(spark_df, con, sql) -> list[str]:
     if len(left) != len(right):
         out.append(f"rows {len(left)} != {len(right)}")
     if left != right:
-        only_left = [r for r in left if r not in set(right)][:3]
-        only_right = [r for r in right if r not in set(left)][:3]
+        only_left = sorted(set(left) - set(right))[:3]
+        only_right = sorted(set(right) - set(left))[:3]
         out.append(f"values: only spark {only_left}; only sql {only_right}")
     return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from brightloom.operators import aggregates, ranking
@@ -84,3 +85,26 @@ def test_stratified_folds_share_every_class(spark):
     for r in folds:
         sizes.setdefault(r["key"], []).append(r["count"])
     assert all(max(s) - min(s) <= 1 for s in sizes.values() if len(s) == 5)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.2, 0.5, 0.999, 1.0])
+def test_ordered_split_finds_its_border(spark, share):
+    """A third of the rows share the first column, some have none."""
+    from brightloom.operators.ranking import ordered_split
+
+    first = F.when(F.col("id") % 3 == 0, 500).when(F.col("id") % 11 == 1, F.lit(None)).otherwise((F.col("id") * 37) % 1000)
+    df = spark.range(3000).select(first.cast("double").alias("a"), F.col("id").alias("b"))
+    got = ordered_split(df, ["a", "b"], share).collect()
+    ranked = sorted(got, key=lambda r: (r["a"] is not None, r["a"] or 0.0, r["b"]))
+    assert [r["split"] for r in ranked] == ["test"] * int(3000 * share) + ["train"] * (3000 - int(3000 * share))
+
+
+def test_profile_sketches_are_close(spark):
+    from brightloom.operators.aggregates import profile
+
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("a"), F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("b"), F.lit(None).cast("double").alias("c"))
+    exact = {r["column"]: r for r in profile(df).collect()}
+    assert [exact[c]["n_distinct"] for c in "abc"] == [20_000, 30_000, 0]
+    for r in profile(df, sketch=12).collect():
+        assert abs(r["n_distinct"] - exact[r["column"]]["n_distinct"]) <= 5 * 1.04 / 64 * exact[r["column"]]["n_distinct"]
+        assert r["n_present"] == exact[r["column"]]["n_present"]

@@ -61,3 +61,17 @@ def test_ordered_replay_cuts_ranges(spark):
         F.min("id").alias("a"), F.max("id").alias("b")).orderBy("a").collect()
     assert len(spans) == 4
     assert all(left["b"] < right["a"] for left, right in zip(spans, spans[1:]))
+
+
+def test_replayed_queries_run_in_several_batches(spark, sf_dir):
+    """State is carried from batch to batch, and files taken by size give batches too."""
+    from brightloom.plans import streams
+
+    counted = windows.window_counts(windows.event_time(streams.replayed_events(spark, sf_dir), "ts"), "ts", "event_type", "60 minutes", late_by="1 minute")
+    path = scratch_path(spark, "counted")
+    assert files.finish(files.table_sink(counted, path, "complete")) >= 3
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    folder = scratch_path(spark, "replay")
+    files.replay_table(events, folder, 6)
+    stream = files.stream_files(spark, folder, events.schema, bytes_per_trigger=1)
+    assert files.finish(files.table_sink(stream, scratch_path(spark, "copied"))) >= 3
