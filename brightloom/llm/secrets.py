@@ -2,13 +2,15 @@
 
 The words of a line are tagged begin, inside or outside of a secret. A word's features are its shape, the
 words around it and counts of its file; the best tags come from Viterbi. The field is trained on lines
-whose tags follow from the patterns, and then finds secrets of like shape and surroundings that no
-pattern names.
+whose tags follow from the patterns, and on the same lines with the secret masked: its key, its sign and its
+alphabet are replaced, so that shape and surroundings must carry the tag, and in some the secret itself by a
+plain word, so that a key alone must not. It then finds secrets that no pattern names.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -30,6 +32,8 @@ _KEYS = frozenset("password passwd pwd secret token apikey api_key key auth bear
 _STARTS = ("passw", "secret", "token", "apikey", "api_key")
 _DIGIT, _RUN = re.compile(r"\d"), re.compile(r"\d+|[A-Z]+|[^\dA-Z]+")
 _HEX_WORD, _ODD_SIGN = re.compile(r"[0-9a-f]{8,}"), re.compile(r"[^\w+/=.-]")
+#: Counts, dates, addresses of machines and numbers of telephones, with what follows a sentence.
+_NUMBER = re.compile(r"[\d.:/+()-]*+[^\w]*+")
 #: Plain words, of up to 11 letters of which only the first may be upper case, are passed over; the next other word is caught.
 _OTHER = re.compile(r"\s*+(?:[A-Za-zÀ-ÖØ-öø-ÿ][a-zß-öø-ÿ]{0,10}+[.,;!?]*+(?:\s++|\Z))*+(\S*+)")
 _KEY = re.compile("|".join(sorted(_KEYS)), re.IGNORECASE)
@@ -79,7 +83,7 @@ def shape(word: str) -> list[str]:
         out.append("mixed")
     if _ODD_SIGN.search(value):
         out.append("odd characters")
-    if digits == n:
+    if _NUMBER.fullmatch(value):
         out.append("number")
     if core != value:
         out.append("value in word")
@@ -157,9 +161,35 @@ def _lines(text: str) -> Iterator[tuple[int, str]]:
         at += len(line) + 1
 
 
+#: How a masked secret may stand to its key; the last forms have none.
+_FORMS = ("{k} = {v}", "{k}: {v}", "{k}={v}", '"{k}": "{v}"', "{k} is {v}", "{k} {v}", "{v}", "{v}")
+_PLAIN_FORMS = ("{k}: {v}", "{k} {v}", "{k} is {v}", "{k} = {v}", "{v}")
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_ALPHABETS = (_LETTERS + _LETTERS.upper() + "0123456789", _LETTERS + "0123456789", _LETTERS.upper() + "0123456789", "0123456789abcdef",
+              _LETTERS + _LETTERS.upper() + "0123456789+/_-")
+#: Secrets that are masked, and masks of each.
+MASKED, MASKS = 1000, 4
+
+
+def _masked(before: list[str], after: list[str], draw: random.Random) -> Iterator[tuple[list[str], list[int]]]:
+    """Words and tags around a secret of another key, sign and alphabet, and around a plain word and a number."""
+    names, plain = sorted(_KEYS), [w for w in [*before, *after] if w.isalpha()] or ["word"]
+    for turn in range(MASKS + 2):
+        if turn < MASKS:
+            letters = draw.choice(_ALPHABETS)
+            value = "".join(draw.choice(letters) for _ in range(draw.randint(16, 44)))
+            form = draw.choice(_FORMS)
+        else:
+            number = draw.choice("./:-").join(str(draw.randint(0, 999)) for _ in range(draw.randint(1, 5)))
+            value, form = draw.choice(plain) if turn == MASKS else number, draw.choice(_PLAIN_FORMS)
+        placed = form.format(k=draw.choice(names), v=value).split(" ")
+        tags = [BEGIN if turn < MASKS and value in w else OUT for w in placed]
+        yield [*before, *placed, *after], [OUT] * len(before) + tags + [OUT] * len(after)
+
+
 def _sequences(texts: Sequence[str], window: int = 6) -> list[tuple[list[list[str]], list[int]]]:
-    """Training sequences: words around each secret, and one stretch without a secret from each text."""
-    out = []
+    """Training sequences: words around each secret and its masks, and one stretch without a secret from each text."""
+    out, masked, draw = [], 0, random.Random(7)
     for text in texts:
         spans = base_spans(text)
         assigned = [(m.start(2), m.end(2), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
@@ -173,6 +203,14 @@ def _sequences(texts: Sequence[str], window: int = 6) -> list[tuple[list[list[st
             for i in ones:
                 part = range(max(0, i - window), min(len(words), i + window + 1))
                 out.append(([shape(words[j]) + _around(words, j) + common for j in part], [tags[j] for j in part]))
+                if tags[i] != BEGIN or masked >= MASKED:
+                    continue
+                masked += 1
+                begin = next(j for j in range(i, -1, -1) if j == 0 or not _role(words[j - 1]))  # without the key
+                end = next((j for j in range(i + 1, len(words)) if tags[j] != INSIDE), len(words))
+                around = [w for j, w in enumerate(words) if max(0, begin - window) <= j < begin and tags[j] == OUT], words[end:end + window]
+                for others, marks_ in _masked(*around, draw):
+                    out.append(([shape(w) + _around(others, j) + common for j, w in enumerate(others)], marks_))
     return out
 
 
