@@ -1,9 +1,10 @@
 """Main text of web pages: markup rules, and differences to the page with the nearest URL.
 
 A page's blocks of text are its lines. Markup says of a line that it belongs to the article, that it does
-not (menus, forms, adverts and the like), or neither. Lines of the last kind are compared with the lines
-of the neighbouring page of the same host in the order of URL paths: lines on the longest common
-subsequence of both pages are the site's own and are deleted.
+not (menus, forms, adverts and the like), or neither: it stands beside the article, or in an element whose class
+or id only hints at something else than an article. Lines of the last kind are compared with those of the
+neighbouring page of the same host in the order of URL paths: lines on the longest common subsequence of
+both pages are the site's own and are deleted.
 """
 
 from __future__ import annotations
@@ -27,10 +28,12 @@ _BLOCK = frozenset(
     "table caption thead tbody tfoot tr blockquote pre address figure figcaption hr details summary legend option hgroup search center".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em i ins kbd label mark q rp rt ruby s samp small span strong sub sup td th time tt u var font big".split())
-_CLASSES = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promoted menu nav navbar navigation breadcrumb breadcrumbs "
-    "sidebar footer header masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay comment comments disqus reply replies "
-    "respond share sharing social related recommended newsletter subscribe signup login search widget toolbar pagination pager".split())
+_SURE = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promoted menu nav navbar navigation breadcrumb breadcrumbs "
+    "sidebar footer masthead cookie cookies consent gdpr popup modal comment comments disqus newsletter subscribe signup login pagination pager "
+    "toolbar".split())
+_HINTS = frozenset(
+    "banner header topbar notice notices alert overlay reply replies respond share sharing social related recommended search widget".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 _TOKEN = re.compile(
@@ -38,31 +41,47 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+[^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S | re.I)
 _MARKS = re.compile(r"(?<![\w-])(class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))", re.I)
 
-INSIDE, OUTSIDE, OPEN = "article", "site", "open"
+INSIDE, OUTSIDE, OPEN, DOUBT = "article", "site", "open", "doubt"
 
 
-def _named_site(attributes: str) -> bool:
-    """Whether class, id or role of an element say that it is no part of an article."""
+def _mark(attributes: str, inside: bool) -> str | None:
+    """What class, id and role say of an element: no part of an article (``OUTSIDE``), perhaps none (``DOUBT``), or nothing.
+
+    A whole name counts, or one of which every part is listed, such as ``nav-menu``; of a name with a
+    listed part, such as ``has-social``, it can't be said. Inside an article hints are only doubts.
+    """
+    doubt = False
     for kind, *values in _MARKS.findall(attributes):
-        words = set(re.split(r"[^a-z]+", "".join(values).lower()))
-        if words & (_ROLES if kind.lower() == "role" else _CLASSES):
-            return True
-    return False
+        for name in "".join(values).lower().split():
+            parts = [p for p in re.split(r"[^a-z]+", name) if p]
+            if kind.lower() == "role":
+                if name in _ROLES:
+                    return OUTSIDE
+                continue
+            listed = [p in _SURE or p in _HINTS for p in parts]
+            if parts and all(listed) and (not inside or any(p in _SURE for p in parts)):
+                return OUTSIDE
+            doubt |= any(listed)
+    return DOUBT if doubt else None
 
 
 def lines(page: str | None) -> list[tuple[str, str]]:
-    """``(zone, text)`` of each block of a page in order; character references decoded, white space made one space."""
-    out: list[tuple[str, str]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, drops text, is an article
+    """``(zone, text)`` of each block of a page in order; character references decoded, white space made one space.
+
+    ``article`` and ``main`` are never put aside for their class, nor is an element that holds most of the words of a
+    page in at least four blocks.
+    """
+    found: list[tuple[str, bool, bool, bool, tuple[int, ...]]] = []  # text, dropped by its element, inside, in doubt, dropping marks
+    stack: list[tuple[str, str | None, bool, int]] = []  # name, what it does to text, is an article, number of the mark
     held: list[str] = []
-    page, at = page or "", 0
+    page, at, marks = page or "", 0, 0
 
     def end_block() -> None:
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            drop, inside = any(x[1] for x in stack), any(x[2] for x in stack)
-            out.append((OUTSIDE if drop else INSIDE if inside else OPEN, text))
+            kinds = [x[1] for x in stack]
+            found.append((text, "element" in kinds, any(x[2] for x in stack), DOUBT in kinds, tuple(x[3] for x in stack if x[1] == OUTSIDE)))
 
     for m in _TOKEN.finditer(page):
         if m.start() > at:
@@ -89,13 +108,31 @@ def lines(page: str | None) -> list[tuple[str, str]]:
                 while stack and stack[-1][0] == "p":
                     stack.pop()
             inside = any(x[2] for x in stack)
-            drop = name in _DROP and not (name == "header" and inside) or bool(m[4].strip()) and name not in ("html", "body") and _named_site(m[4])
-            if drop and name not in _BLOCK:
+            does = "element" if name in _DROP and not (name == "header" and inside) else None
+            if does is None and m[4].strip() and name not in ("html", "body") and name not in _ARTICLE:
+                does = _mark(m[4], inside)
+            marks += 1
+            if does and name not in _BLOCK:
                 end_block()
-            if drop or name in _ARTICLE or name not in _INLINE and name != "p":
-                stack.append((name, drop, name in _ARTICLE and not drop))
+            if does or name in _ARTICLE or name not in _INLINE and name != "p":
+                stack.append((name, does, name in _ARTICLE, marks))
     held.append(page[at:])
     end_block()
+
+    sizes: dict[int, int] = {}
+    blocks: dict[int, int] = {}
+    words = [len(text.split()) for text, *_ in found]
+    for n, (_, dropped, _, _, outside) in zip(words, found):
+        for i in () if dropped else outside:
+            sizes[i], blocks[i] = sizes.get(i, 0) + n, blocks.get(i, 0) + 1
+    whole = sum(n for n, x in zip(words, found) if not x[1])
+    out = []
+    for text, dropped, inside, doubt, outside in found:
+        if dropped or any(2 * sizes[i] <= whole or blocks[i] < 4 for i in outside):
+            zone = OUTSIDE
+        else:
+            zone = (DOUBT if doubt else INSIDE) if inside else OPEN
+        out.append((zone, text))
     return out
 
 
@@ -125,19 +162,22 @@ def common_lines(a: Sequence[int], b: Sequence[int]) -> list[bool]:
 
 def open_hashes(found: Sequence[tuple[str, str]]) -> list[int]:
     """Of the lines that markup does not settle, 32 bits each."""
-    return [xxhash.xxh32_intdigest(t) - (1 << 31) for zone, t in found if zone == OPEN]
+    return [xxhash.xxh32_intdigest(t) - (1 << 31) for zone, t in found if zone in (OPEN, DOUBT)]
 
 
 def main_text(page: str | None, neighbour: Sequence[int] | None) -> str:
-    """The article's blocks; without article markup, the open lines that the neighbour does not share."""
+    """The article's blocks, and the lines in doubt that the neighbour does not share.
+
+    Lines beside the article are in doubt too where they have more words than it, as on a page with a teaser, or
+    where there is no article.
+    """
     found = lines(page)
-    inside = [t for zone, t in found if zone == INSIDE]
-    if inside:
-        return "\n\n".join(inside)
-    open_ = [t for zone, t in found if zone == OPEN]
-    if neighbour is None or not len(neighbour):
-        return "\n\n".join(open_)
-    return "\n\n".join(t for t, shared in zip(open_, common_lines(open_hashes(found), list(neighbour))) if not shared)
+    words = {zone: sum(len(t.split()) for z, t in found if z == zone) for zone in (INSIDE, OPEN, DOUBT)}
+    keep = (INSIDE, DOUBT) if words[INSIDE] + words[DOUBT] >= words[OPEN] else (INSIDE, DOUBT, OPEN)
+    hashes = open_hashes(found)
+    shared = iter(common_lines(hashes, list(neighbour)) if neighbour is not None and len(neighbour) else [False] * len(hashes))
+    settled = [(zone, t, zone in (OPEN, DOUBT) and next(shared)) for zone, t in found]
+    return "\n\n".join(t for zone, t, site in settled if zone in keep and not site)
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
