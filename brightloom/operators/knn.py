@@ -14,6 +14,7 @@ that makes up a third of the rows is compared once.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -333,12 +334,23 @@ def knn_classify(
 
 
 def knn_error_by_k(
-    neighbours: DataFrame, queries: DataFrame, train: DataFrame, query_id: str, train_id: str, target: str
+    neighbours: DataFrame, queries: DataFrame, train: DataFrame, query_id: str, train_id: str, target: str,
+    weights: str = "uniform", by: Sequence[str] = (),
 ) -> DataFrame:
-    """Mean squared error of k-NN regression for every k up to the ranked depth, from one ranking."""
+    """Mean squared error of k-NN regression for every k up to the ranked depth, from one ranking: (by, k, mse).
+
+    ``weights`` is ``uniform`` or ``distance``; ``by`` names columns of the queries, such as their part of a split.
+    """
     rows = _with_target(neighbours, train, train_id, target)
+    if weights == "uniform":
+        rows = rows.withColumn("_w", F.lit(1.0))
+    else:
+        # The nearest comes first: where it is at no distance only such rows count, at every k.
+        closest = F.first("distance").over(W.partitionBy(query_id).orderBy("rank"))
+        rows = rows.withColumn("_w", F.when(closest == 0, (F.col("distance") == 0).cast("double")).otherwise(
+            F.try_divide(F.lit(1.0), F.col("distance"))))
     nearest = W.partitionBy(query_id).orderBy("rank").rowsBetween(W.unboundedPreceding, 0)
-    guesses = rows.withColumn("_guess", F.avg("_y").over(nearest))
-    actual = queries.select(query_id, F.col(target).alias("_actual"))
-    return guesses.join(actual, query_id).groupBy(F.col("rank").alias("k")).agg(
+    guesses = rows.withColumn("_guess", F.sum(F.col("_w") * F.col("_y")).over(nearest) / F.sum("_w").over(nearest))
+    actual = queries.select(query_id, F.col(target).alias("_actual"), *by)
+    return guesses.join(actual, query_id).groupBy(*by, F.col("rank").alias("k")).agg(
         F.avg(F.pow(F.col("_actual") - F.col("_guess"), 2)).alias("mse"))

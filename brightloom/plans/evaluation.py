@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from brightloom.operators import bayes, columns as cols, evaluate, linear, ranking, tune
+from brightloom.operators.aggregates import metric_rows
 from brightloom.plans.aggregation import HASH_SQL, SCORED_SQL, scored_documents
 from brightloom.plans.column_operations import RETURNS_SQL, returns
 from brightloom.plans.models import (
-    PENALTIES, PENALTY_SQL, TEXTS_SQL, labelled_texts, multinomial_sql, priced_lines, shrunk, vectors,
+    LINE_SPLIT_SQL, PENALTIES, PENALTY_SQL, TEXTS_SQL, labelled_texts, multinomial_sql, priced_lines, shrunk, vectors,
 )
 from brightloom.plans.registry import query, table
 
@@ -135,6 +138,42 @@ def train_test_comparison(spark, sf_dir):
     return out.withColumns({c: F.round(c, 9) for c in ("train", "test", "gap")})
 
 
+MODELS_SQL = f"""
+    r AS (SELECT l_linenumber = 1 AS first_line, l_quantity > 25 AS large, CAST(l_returnflag <> 'N' AS INTEGER) AS y, {LINE_SPLIT_SQL} AS train FROM lineitem),
+    m AS (SELECT 'first line' AS model, first_line AS x, y, train FROM r UNION ALL SELECT 'large', large, y, train FROM r),
+    p AS (SELECT model, x, avg(y) FILTER (train) AS p FROM m GROUP BY model, x),
+    s AS (SELECT model, x, y, CASE WHEN train THEN 'train' ELSE 'test' END AS dataset, p, CAST(p > 0.5 AS INTEGER) AS guess FROM m JOIN p USING (model, x)),
+    c AS (SELECT model, dataset, count(*) AS n, count(*) FILTER (y = 1 AND guess = 1) AS tp, count(*) FILTER (y = 0 AND guess = 1) AS fp,
+        count(*) FILTER (y = 1 AND guess = 0) AS fn, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg,
+        count(*) FILTER (guess = y) AS hit FROM s GROUP BY model, dataset),
+    v AS (SELECT model, dataset, x, any_value(p) AS p, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY model, dataset, x),
+    a AS (SELECT a.model, a.dataset, sum(a.pos * b.neg * CASE WHEN a.p > b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0 END)::DOUBLE AS wins
+        FROM v a JOIN v b USING (model, dataset) GROUP BY a.model, a.dataset)"""
+
+
+@query("e12_model_comparison", sql=f"""
+    WITH {MODELS_SQL}, k AS (SELECT c.*, wins / pos / neg AS auc FROM c JOIN a USING (model, dataset)),
+    t AS (SELECT model, dataset, 'accuracy' AS metric, hit / n AS value FROM k UNION ALL SELECT model, dataset, 'zero_one_loss', 1 - hit / n FROM k
+        UNION ALL SELECT model, dataset, 'precision', CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END FROM k UNION ALL SELECT model, dataset, 'recall', tp / (tp + fn) FROM k
+        UNION ALL SELECT model, dataset, 'f1', 2 * tp / (2 * tp + fp + fn) FROM k UNION ALL SELECT model, dataset, 'auc', auc FROM k)
+    SELECT model, dataset, metric, round(value, 4) AS value FROM t""")
+def model_comparison(spark, sf_dir):
+    """Two fitted models by train and test part: accuracy, precision, recall, F1 and the area under the curve of their scores."""
+    lines = ranking.hash_split(table(spark, sf_dir, "lineitem"), "l_orderkey", 70).select(
+        "split", (F.col("l_linenumber") == 1).cast("double").alias("first line"), (F.col("l_quantity") > 25).cast("double").alias("large"),
+        (F.col("l_returnflag") != "N").cast("int").alias("y"))
+    results = {}
+    for name in ("first line", "large"):
+        rows = VectorAssembler(inputCols=[name], outputCol="features").transform(lines)
+        model = LogisticRegression(labelCol="y", tol=1e-12, maxIter=200).fit(rows.filter("split = 'train'"))
+        scored = model.transform(rows).select("split", "y", F.round(vector_to_array("probability")[1], 9).alias("score"), F.col("prediction").cast("int").alias("guess"))
+        for part in ("train", "test"):
+            own = scored.filter(F.col("split") == part)
+            results[name, part] = evaluate.accuracy(own, "y", "guess").join(
+                evaluate.precision_recall(own, "y", "guess")).join(evaluate.area_under_roc(own, "y", "score"))  # one row each
+    return metric_rows(results).withColumn("value", F.round("value", 4))
+
+
 def accuracy_score():
     return MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
 

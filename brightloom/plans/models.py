@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier,
@@ -10,7 +12,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from brightloom.operators import bayes, evaluate, features as feat, knn, linear, ranking
 from brightloom.plans.aggregation import HASH_SQL
@@ -19,6 +21,7 @@ from brightloom.plans.joins_sets import embedded, embedding_neighbours, pairs_sq
 from brightloom.plans.preparation import COUNTS_SQL
 from brightloom.plans.registry import query, table
 from brightloom.plans.streams import SENSOR, sensor_rows
+from brightloom.session import checkpointed
 
 
 def buyers(spark, sf_dir):
@@ -75,15 +78,66 @@ def weighted_neighbours(spark, sf_dir):
         F.col("query").alias("id"), F.round("predicted", 6).alias("predicted"))
 
 
+def split_pairs_sql(distance: str, depth: int) -> str:
+    """Every buyer as a query ``q`` against the buyers of the train part ``t``, ranked by distance."""
+    return f"""
+    buyers AS MATERIALIZED (SELECT c_custkey AS id, any_value(c_acctbal) AS a, max(o_totalprice) / 10 AS b, count(*) AS y,
+            floor({HASH_SQL.format(key='c_custkey')} / 65536) % 100 < 70 AS train
+        FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey),
+    scale AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb FROM buyers WHERE train),
+    scaled AS MATERIALIZED (SELECT id, y, train, (a - ma) / sa AS sa, (b - mb) / sb AS sb, a, b FROM buyers, scale),
+    pairs AS MATERIALIZED (SELECT * FROM (SELECT q.id, q.y AS actual, q.train, t.y, {distance} AS d,
+        row_number() OVER (PARTITION BY q.id ORDER BY {distance}, t.id) AS r FROM scaled q CROSS JOIN scaled t WHERE t.train) WHERE r <= {depth})"""
+
+
+def split_buyers(spark, sf_dir):
+    return ranking.hash_split(buyers(spark, sf_dir), "id", 70)
+
+
 @query("h02_error_by_k", sql=f"""
-    WITH {buyer_pairs_sql(STRAIGHT)},
-    guesses AS (SELECT r, actual, avg(y) OVER (PARTITION BY id ORDER BY r ROWS UNBOUNDED PRECEDING) AS guess FROM pairs WHERE r <= 20)
-    SELECT r AS k, round(avg(pow(actual - guess, 2)), 6) AS mse FROM guesses GROUP BY r""")
+    WITH {split_pairs_sql(STRAIGHT, 49)},
+    guesses AS (SELECT train, r, actual, avg(y) OVER (PARTITION BY id ORDER BY r ROWS UNBOUNDED PRECEDING) AS guess FROM pairs)
+    SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS split, r AS k, round(avg(pow(actual - guess, 2)), 6) AS mse FROM guesses GROUP BY train, r""")
 def error_by_k(spark, sf_dir):
-    """One ranking gives the error of every k up to 20."""
-    rows, near = buyer_neighbours(spark, sf_dir, 20)
-    queries = rows.withColumnRenamed("id", "query")
-    return knn.knn_error_by_k(near, queries, rows, "query", "id", "y").withColumn("mse", F.round("mse", 6))
+    """One ranking gives the error of every k up to 49, on train and test."""
+    rows = split_buyers(spark, sf_dir)
+    queries, train = rows.withColumnRenamed("id", "query"), rows.filter("split = 'train'")
+    near = knn.nearest_neighbours(queries, train, 49, "query", "id")
+    return knn.knn_error_by_k(near, queries, train, "query", "id", "y", by=["split"]).withColumn("mse", F.round("mse", 6))
+
+
+SCALED = {2: "sqrt(pow(q.sa - t.sa, 2) + pow(q.sb - t.sb, 2))", 1: "abs(q.sa - t.sa) + abs(q.sb - t.sb)"}
+
+
+def _search_sql(p: int) -> str:
+    return f"""
+    (WITH {split_pairs_sql(SCALED[p], 49)},
+    weighed AS (SELECT *, min(d) OVER (PARTITION BY id) AS least FROM pairs WHERE NOT train),
+    kinds AS (SELECT *, 'uniform' AS weights, 1.0::DOUBLE AS w FROM weighed
+        UNION ALL SELECT *, 'distance', CASE WHEN least = 0 THEN CAST(d = 0 AS DOUBLE) ELSE 1 / d END FROM weighed),
+    guesses AS (SELECT weights, r, actual, sum(w * y) OVER (PARTITION BY weights, id ORDER BY r ROWS UNBOUNDED PRECEDING)
+        / sum(w) OVER (PARTITION BY weights, id ORDER BY r ROWS UNBOUNDED PRECEDING) AS guess FROM kinds)
+    SELECT {p} AS p, weights, r AS k, round(avg(pow(actual - guess, 2)), 6) AS mse FROM guesses GROUP BY weights, r)"""
+
+
+@query("h03_neighbour_search", sql=f"""
+    WITH found AS ({_search_sql(1)} UNION ALL {_search_sql(2)})
+    SELECT *, row_number() OVER (ORDER BY mse, p, weights, k) = 1 AS best FROM found""")
+def neighbour_search(spark, sf_dir):
+    """Error on the test part by metric, weights and k up to 49, on inputs scaled by the train part."""
+    rows = split_buyers(spark, sf_dir).select("id", "y", "split", F.col("features")[0].alias("a"), F.col("features")[1].alias("b"))
+    scaling = feat.learn_standard(rows.filter("split = 'train'"), ["a", "b"])
+    rows = scaling.apply(rows).select("id", "y", "split", F.array("a", "b").alias("features"))
+    queries, train = rows.filter("split = 'test'").withColumnRenamed("id", "query"), rows.filter("split = 'train'")
+    parts = []
+    for p in (1, 2):
+        near = checkpointed(knn.nearest_neighbours(queries, train, 49, "query", "id", p=p))
+        parts += [
+            knn.knn_error_by_k(near, queries, train, "query", "id", "y", weights=w).select(F.lit(p).alias("p"), F.lit(w).alias("weights"), "k", F.round("mse", 6).alias("mse"))
+            for w in ("uniform", "distance")]
+    found = checkpointed(reduce(DataFrame.union, parts))
+    best = found.agg(F.min(F.struct("mse", "p", "weights", "k")).alias("b")).first()["b"]  # one row
+    return found.withColumn("best", (F.col("p") == best["p"]) & (F.col("weights") == best["weights"]) & (F.col("k") == best["k"]))
 
 
 RULE_ATTRIBUTES = ["refund", "marital_status", "income_above_80k"]
@@ -273,7 +327,7 @@ def tree_classification(spark, sf_dir):
 @query("l05_boosted_trees")
 def boosted_trees(spark, sf_dir):
     df, train = split_vectors(spark, sf_dir)
-    return scored(GBTClassifier(labelCol="low_label", maxIter=20, seed=7).fit(train), df, "vec_id", "split", "low_label")
+    return scored(GBTClassifier(labelCol="low_label", maxIter=100, maxDepth=10, seed=7).fit(train), df, "vec_id", "split", "low_label")
 
 
 LINE_INPUTS = ["l_quantity", "l_discount", "l_tax"]
@@ -400,6 +454,19 @@ def k_means(spark, sf_dir):
     return out.drop("features")
 
 
+@query("l17_components_then_clusters")
+def components_then_clusters(spark, sf_dir):
+    """Two components and eight clusters learned on train; test rows go through the train projection. Each cluster stands for its best class."""
+    df, train = split_vectors(spark, sf_dir)
+    chain = Pipeline(stages=[*feat.centred_pca("features", 2, "parts").getStages(), KMeans(k=8, seed=7, featuresCol="parts", predictionCol="cluster")])
+    placed = chain.fit(train).transform(df)
+    best = evaluate.cluster_agreement(placed.filter("split = 'train'"), "cluster", "label").select("cluster", F.col("best_label").alias("prediction"))
+    guessed = placed.join(F.broadcast(best), "cluster")  # one row a cluster
+    reports = [
+        evaluate.class_report(guessed.filter(F.col("split") == part), "label", "prediction").withColumn("split", F.lit(part)) for part in ("train", "test")]
+    return reports[0].unionByName(reports[1])
+
+
 @query("l18_model_scoring")
 def model_scoring(spark, sf_dir):
     """Predicted class with the probability of every class."""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F, types as T
 
@@ -210,6 +212,25 @@ def learned_indicators(spark, sf_dir):
     return named_indicators(df, "age_class").drop("age_class")
 
 
+CHAIN_SQL = f"""
+    WITH r AS (SELECT event_id, event_type = 'error' AS y, {HASH_SQL.format(key='event_id')} // 65536 % 100 < 80 AS train,
+        {AGE_SQL} AS age_class FROM (SELECT event_id, event_type, {K_SQL} AS k FROM events)),
+    p AS (SELECT age_class, avg(CAST(y AS INTEGER)) FILTER (train) AS p FROM r GROUP BY age_class)
+    SELECT event_id, CASE WHEN train THEN 'train' ELSE 'test' END AS split, round(p, 4) AS probability FROM r JOIN p USING (age_class)"""
+
+
+@query("m08_whole_chain", sql=CHAIN_SQL)
+def whole_chain(spark, sf_dir):
+    """Own stages, indicators, assembly and a logistic regression as one fitted chain; with indicators alone it gives the shares of the classes."""
+    df = ranking.hash_split(table(spark, sf_dir, "events").select(
+        "event_id", events_k().alias("age"), (F.col("event_type") == "error").cast("double").alias("label")), "event_id", 80)
+    chain = Pipeline(stages=[
+        AgeClasses(inputCol="age", outputCol="age_class"), Indicators(inputCol="age_class", dropFirst=True),
+        feat.assemble(["indicators"]), LogisticRegression(tol=1e-12, maxIter=200)])
+    model = chain.fit(df.filter("split = 'train'"))
+    return model.transform(df).select("event_id", "split", F.round(vector_to_array("probability")[1], 4).alias("probability"))
+
+
 @query("x04_apply_python_function", sql="""
     SELECT conv_id, turn, len(text) AS n_chars FROM conversations""")
 def apply_python_function(spark, sf_dir):

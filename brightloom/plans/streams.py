@@ -52,6 +52,18 @@ def sliding(spark, sf_dir):
     return windows.window_counts(table(spark, sf_dir, "events"), "ts", "event_type", "60 minutes", "30 minutes")
 
 
+@query("t01_exploded_tag_count", sql=f"""
+    WITH tags AS (SELECT ts, unnest(string_split(event_type || CASE WHEN value > 100 THEN ',high' ELSE '' END, ',')) AS key FROM events)
+    SELECT time_bucket(INTERVAL 60 MINUTE, ts) AS window_start, time_bucket(INTERVAL 60 MINUTE, ts) + INTERVAL 60 MINUTE AS window_end,
+        upper(key) AS key, count(*) AS n FROM tags GROUP BY ALL HAVING count(*) > 2""")
+def exploded_tags(spark, sf_dir):
+    """Each entry of a list of tags counts in the window of its row; the list comes as a stream, in several batches."""
+    listed = F.concat("event_type", F.when(F.col("value") > 100, ",high").otherwise(""))
+    stream = replayed_events(spark, sf_dir).select("ts", F.explode(F.split(listed, ",")).alias("tag"))
+    counted = windows.window_counts(windows.event_time(stream, "ts"), "ts", F.upper("tag"), "60 minutes", more_than=2)
+    return files.drain_to_table(counted, mode="complete")
+
+
 CLOSED_SQL = f"SELECT * FROM ({counts_sql()}) WHERE window_end <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM events)"
 
 
