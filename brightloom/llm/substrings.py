@@ -3,10 +3,11 @@
 A string of ``length`` bytes is found through anchors: positions whose hash of the next ``ANCHOR`` bytes is the
 least among the positions that a string could begin it from. Equal strings have equal anchors at equal
 offsets, so only suffixes that begin at an anchor are sorted, and of these only those whose anchor
-also stands in another document. Sampled splitters part these suffixes by their leading bytes; each bucket
-is sorted word by word (multikey quicksort), to the right and to the left of the anchor, and
-neighbours in both orders say which strings are equal. A splitter never parts suffixes with the same
-leading bytes, so equal strings meet in one bucket.
+also stands in another document. Splitters sampled from these suffixes part them by all bytes of their
+anchor; each bucket is sorted word by word (multikey quicksort), to the right and to the left of the
+anchor, and neighbours in both orders say which strings are equal. Equal strings share the bytes of their
+anchor, so none of them lie on two sides of a splitter; suffixes with equal surroundings leave a bucket of
+documents once, with their least owner, so an anchor that most documents hold brings few rows.
 """
 
 from __future__ import annotations
@@ -194,7 +195,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
     found = written(long_.select("order", "text").mapInPandas(_anchor_rows(buckets), _ROW).groupBy("bucket").applyInPandas(_shared(buckets), _ROW), "places")
     release_shuffles(spark)
-    splitters = _splitters(long_, total["rows"], buckets)
+    splitters = _splitters(long_, found, total["rows"], buckets)
     packed = "cast(null as array<struct<order:long,tag:long>>) AS items"
     copy_rows = copies.selectExpr("kind", "bucket", "origin", *[f"cast(null as binary) AS {c}" for c in "abcde"], "items")
     known = found.selectExpr("*", packed).unionByName(copy_rows)
@@ -252,21 +253,26 @@ def _shared(buckets: int):
     return run
 
 
-def _splitters(rows: DataFrame, n: int, buckets: int, docs: int = 2000, each: int = 50) -> np.ndarray:
-    """Leading bytes that part suffixes evenly, from about ``docs`` texts and ``each`` suffixes of a text."""
-    share = int(min(1.0, docs / max(1, n)) * (1 << 20))
+def _splitters(rows: DataFrame, found: DataFrame, n: int, buckets: int, docs: int = 2000, each: int = 50, some: int = 32) -> np.ndarray:
+    """Anchors that part the suffixes to be sorted evenly, from about ``docs`` texts of ``some`` buckets and ``each`` suffixes of a text."""
+    sampled = sorted({i * buckets // some for i in range(some)})
+    share = int(min(1.0, docs * buckets / max(1, n * len(sampled))) * (1 << 20))
 
-    def leads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for t in batch["text"]:
-                t = t.encode("utf-8", "replace")
-                _, _, place = anchors([t])
-                place = place[::max(1, len(place) // each)][:each]
-                yield pd.DataFrame({"lead": [t[p:p + 8] for p in place]})
+    def leads(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        order, place = _unpack(known, "<i8", "<u4")
+        by = np.argsort(order, kind="stable")
+        order, place = order[by], place[by]
+        out: list[bytes] = []
+        for own, t in zip(frame["order"], frame["text"]):
+            t = t.encode("utf-8", "replace")
+            at = place[np.searchsorted(order, own, side="left"):np.searchsorted(order, own, side="right")]
+            out += [t[p:p + ANCHOR] for p in at[::max(1, len(at) // each)][:each]]
+        return pd.DataFrame({"lead": out})
 
-    drawn = rows.filter(F.pmod(F.xxhash64("order", "tag"), F.lit(1 << 20)) < share).select("text").mapInPandas(leads, "lead binary")
-    found = np.sort(np.array([int.from_bytes(bytes(r["lead"]), "big") for r in drawn.collect()], dtype=np.uint64))
-    return np.unique(found[np.linspace(0, len(found) - 1, buckets + 1).astype(int)[1:-1]]) if len(found) else found
+    drawn = rows.filter(F.col("bucket").isin(sampled) & (F.pmod(F.xxhash64("order", "tag"), F.lit(1 << 20)) < share)).select("bucket", "order", "text")
+    pairs = drawn.groupBy("bucket").cogroup(found.filter(F.col("bucket").isin(sampled)).groupBy("bucket"))
+    leads_ = np.sort(np.array([bytes(r["lead"]) for r in pairs.applyInPandas(leads, "lead binary").collect()], dtype=f"S{ANCHOR}"))
+    return np.unique(leads_[np.linspace(0, len(leads_) - 1, buckets + 1).astype(int)[1:-1]]) if len(leads_) else leads_
 
 
 def _ordered(frame: pd.DataFrame) -> pd.DataFrame:
@@ -323,7 +329,7 @@ def _suffix_rows(buffer, first, sizes, row, place, owner, splitters, bucket: int
     masks = (fits.astype(np.uint32) << offsets.astype(np.uint32)).sum(1, dtype=np.uint32)
     row, place = row.astype(np.uint32), place.astype(np.uint32)
     yield from _cut(MASK, np.full(int(late.sum()), bucket), bucket, row[late], place[late], masks[late])
-    lead = np.ascontiguousarray(context[:, LEFT:LEFT + 8]).view(">u8").ravel().astype(np.uint64)
+    lead = np.ascontiguousarray(context[:, LEFT:LEFT + ANCHOR]).view(f"S{ANCHOR}").ravel()
     send = ~late
     yield from _cut(SUFFIX, np.searchsorted(splitters, lead[send], side="right"), bucket, full[send], owner[send], row[send], place[send])
 
