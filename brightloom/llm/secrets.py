@@ -262,12 +262,13 @@ def train(texts: Sequence[str], rounds: int = 100, rate: float = 0.3, penalty: f
     return Field(index, weights, moves, start)
 
 
-def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rows: int = 3000) -> Field:
+def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rows: int = 3000, longest: int = 20_000) -> Field:
     """Train on about ``rows`` texts, chosen by a hash of the id, half of them with a secret named by a pattern.
 
-    ``rows`` is the documented bound of what the driver gets; the counts behind it cover all rows.
+    Twice ``rows`` texts of at most ``longest`` code points are the documented bound of what the driver gets; longer
+    texts are not learned from, but scanned like all others.
     """
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.length("text") <= longest)
     named = F.col("text").rlike(f"(?i)({ASSIGN.pattern})|AKIA[A-Z0-9]{{16,}}|(?-i)[0-9a-f]{{24,}}")
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     sized = texts.agg(F.count("*").alias("n")).first()["n"]
