@@ -18,6 +18,7 @@ from brightloom.plans.models import (
     LINE_SPLIT_SQL, PENALTIES, PENALTY_SQL, TEXTS_SQL, labelled_texts, multinomial_sql, priced_lines, shrunk, vectors,
 )
 from brightloom.plans.registry import query, table
+from brightloom.session import checkpointed
 
 C_SQL = f"""c AS (SELECT count(*) FILTER (quality = 1 AND predicted = 1) AS tp, count(*) FILTER (quality = 0 AND predicted = 1) AS fp,
     count(*) FILTER (quality = 1 AND predicted = 0) AS fn, count(*) FILTER (quality = 0 AND predicted = 0) AS tn FROM {SCORED_SQL})"""
@@ -179,9 +180,9 @@ def accuracy_score():
 
 
 def folded_vectors(spark, sf_dir, folds: int = 3):
-    """Labelled vectors dealt to folds, kept in executor storage while models are fitted on them."""
+    """Labelled vectors dealt to folds, checkpointed because every model reads them."""
     df = ranking.stratified_folds(vectors(spark, sf_dir), "label", "vec_id", folds)
-    return ranking.plain_folds(df, "vec_id", folds, "inner_fold").select("vec_id", "features", "label", "fold", "inner_fold").persist()
+    return checkpointed(ranking.plain_folds(df, "vec_id", folds, "inner_fold").select("vec_id", "features", "label", "fold", "inner_fold"))
 
 
 def tree(**settings):
