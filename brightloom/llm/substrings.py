@@ -175,12 +175,13 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
     A byte is removed if it lies in a string of 50 bytes that also begins in a document of smaller
     ``doc_id``; ``kept`` is what is left (binary). A null text is empty. Rows of one id leave each
-    other alone. Rows without id come after all others, in an order fixed by their texts. An empty
+    other alone. Rows without id, or with one that is no whole number, come out without id and after all others,
+    in an order fixed by their texts. An empty
     table gives an empty one. Copies of a whole text are removed by their digest.
     """
     spark = docs.sparkSession
-    order = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST) - F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
-    rows = docs.select(F.col(doc_id).cast("long").alias(doc_id), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    order = F.coalesce(F.col(doc_id).try_cast("long"), F.lit(_LAST) - F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
+    rows = docs.select(F.col(doc_id).try_cast("long").alias(doc_id), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select(F.col(doc_id).alias("doc_id"), "text", order.alias("order"), F.xxhash64("text").alias("tag"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n"), F.count("*").alias("rows")).first()
     buckets = _prime(total["n"] // BUCKET_BYTES + 1)

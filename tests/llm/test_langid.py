@@ -65,3 +65,38 @@ def test_result_does_not_depend_on_the_batch(spark, sf_dir, model):
     one = {r.doc_id: r.language for r in langid.identify(docs.repartition(9), model).collect()}
     two = {r.doc_id: r.language for r in langid.identify(docs.coalesce(1), model).collect()}
     assert all(one[k].lang == two[k].lang and abs(one[k].score - two[k].score) < 1e-9 for k in one)
+
+
+def test_set_choice_equals_trying_all_subsets():
+    """Documents of one, two or three of four languages: best set of all fifteen, with shares by long expectation-maximisation."""
+    draw = np.random.default_rng(12)
+    words = draw.normal(size=(400, 4)) * 1.5 - 8
+    agree, mixed = 0, 0
+    for _ in range(60):
+        truth = draw.choice(4, draw.integers(1, 4), replace=False)
+        shares = draw.dirichlet(np.full(len(truth), 4.0))
+        likely = np.exp(words)[:, truth] @ shares
+        counts = draw.multinomial(300, likely / likely.sum()).astype(float)
+        logs, counts = words[counts > 0], counts[counts > 0]
+        best = (-np.inf, None, None)
+        for mask in range(1, 16):
+            held = [i for i in range(4) if mask >> i & 1]
+            p, pi = np.exp(logs[:, held]), np.full(len(held), 1 / len(held))
+            for _ in range(400):
+                part = p * pi
+                pi = (part / part.sum(1, keepdims=True) * counts[:, None]).sum(0) / counts.sum()
+            value = (counts * np.log(p @ pi)).sum() - 2.0 * (len(held) - 1) * np.log(counts.sum())
+            if value > best[0] + 1e-9:
+                best = (value, held[int(pi.argmax())], pi.max())
+        lang, share = langid.mixtures(logs, counts, np.zeros(len(counts), int))
+        agree += lang[0] == best[1] and abs(share[0] - best[2]) < 0.1
+        mixed += best[2] < 1
+    assert agree >= 55 and mixed >= 20
+
+
+def test_rows_without_id_and_equal_languages(spark):
+    """Rows without an id go through; equal languages are told apart by their order, or not learned from at all."""
+    rows = [(None, "alpha beta", "aa"), (None, "alpha beta", "bb"), (3, "alpha beta", "aa"), (3, "alpha beta", "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(docs, langid.fit(docs)).collect()
+    assert len(got) == 4 and len({r.language.lang for r in got}) == 1 and got[0].language.lang in ("aa", "und")

@@ -68,6 +68,13 @@ def test_rows_without_id_and_empty_table(spark):
     assert substrings.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_ids_that_are_no_numbers_and_clashing_columns(spark):
+    text = "the same long text of more than fifty bytes, for all rows here alike"
+    rows = [("b7", text, 1, 2, 3, 4), ("7", text, 1, 2, 3, 4)]
+    got = substrings.dedup(spark.createDataFrame(rows, "doc_id string, text string, `order` int, tag int, bucket int, kind int")).collect()
+    assert sorted((str(r.doc_id), r.n_removed) for r in got) == [("7", 0), ("None", 68)]
+
+
 def test_multikey_order_is_the_order_of_bytes():
     rows = np.random.default_rng(1).integers(0, 3, (500, 20)).astype(np.uint8)
     order = substrings.multikey_order(substrings._words(rows))
