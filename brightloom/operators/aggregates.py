@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from brightloom.operators.columns import stacked
 from brightloom.operators.positions import with_group_position, with_running_sums
+from brightloom.session import checkpointed
 
 
 def group_average(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -80,19 +81,26 @@ def corrected_skewness(column: Column) -> Column:
     return F.when(n > 2, F.skewness(column) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)))
 
 
-def medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+def _bracket(column: Column, accuracy: int) -> Column:
+    """A sketch of two values that the median lies between."""
+    margin = 2.0 / accuracy
+    return F.percentile_approx(column, [0.5 - margin, 0.5 + margin], accuracy)
+
+
+def medians(
+    df: DataFrame, columns: Sequence[str], accuracy: int = 10_000, brackets: Mapping[str, Sequence[float] | None] | None = None
+) -> DataFrame:
     """Exact median of each column: (column, median).
 
-    Mergeable sketches first bracket each median between two values; only the values
-    inside the brackets, about 4/accuracy of the rows, are then counted and sorted. The
+    Mergeable sketches first bracket each median between two values (``brackets``, where they are known); only
+    the values inside the brackets, about 4/accuracy of the rows, are then counted and sorted. The
     exact counts below and inside a bracket are checked, and a column whose bracket does
     not hold its median is done over its whole range.
     """
     x = {c: F.col(c).cast("double") for c in columns}
-    margin = 2.0 / accuracy
-    sketch = df.agg(*[
-        F.percentile_approx(x[c], [0.5 - margin, 0.5 + margin], accuracy).alias(c) for c in columns]).first()
-    bounds = {c: sketch[c] for c in columns if sketch[c] is not None}
+    if brackets is None:
+        brackets = df.agg(*[_bracket(x[c], accuracy).alias(c) for c in columns]).first().asDict()
+    bounds = {c: brackets[c] for c in columns if brackets[c] is not None}
     if not bounds:
         return df.sparkSession.createDataFrame([], "column string, median double")
     sizes = df.agg(*[
@@ -112,7 +120,8 @@ def medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> Da
 
     cells = [F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in inside.items()]
     values = df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
-    counted = values.groupBy("column", "value").agg(F.count("*").alias("n"))
+    # Checkpointed: the sort reads its input twice, and it is far smaller than the table.
+    counted = checkpointed(values.groupBy("column", "value").agg(F.count("*").alias("n")))
     ranked = with_running_sums(counted, ["value"], {"up_to": "n"}, keys=["column"])
     # One row per column of the table.
     places = F.broadcast(df.sparkSession.createDataFrame(wanted, "column string, first bigint, last bigint"))
@@ -122,16 +131,19 @@ def medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> Da
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Mean, median, variance, minimum, maximum, deviation and corrected skewness per column."""
+    """Mean, median, variance, minimum, maximum, deviation and corrected skewness per column; one pass gives all but the median."""
+    accuracy = 10_000
+
     def one(c: str) -> Column:
         x = F.col(c).cast("double")
         return F.struct(
             F.lit(c).alias("column"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.var_samp(x).alias("variance"),
             F.min(x).alias("min"), F.max(x).alias("max"), F.stddev_samp(x).alias("std"),
-            corrected_skewness(x).alias("skew"))
+            corrected_skewness(x).alias("skew"), _bracket(x, accuracy).alias("bracket"))
 
-    moments = df.agg(F.array(*[one(c) for c in columns]).alias("s")).select(F.inline("s"))
-    return moments.join(medians(df, columns), "column", "left")
+    moments = checkpointed(df.agg(F.array(*[one(c) for c in columns]).alias("s")).select(F.inline("s")))
+    brackets = {r["column"]: r["bracket"] for r in moments.collect()}  # one row a column
+    return moments.drop("bracket").join(medians(df, columns, accuracy, brackets), "column", "left")
 
 
 def moments_by_class(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:

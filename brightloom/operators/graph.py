@@ -23,14 +23,17 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 def bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
     """Write as a table bucketed and sorted by ``keys`` and read it back: joins on all of them leave it where it is.
 
-    There are as many buckets as shuffle partitions, so the other side of a join is dealt to match.
+    There are as many buckets as shuffle partitions, so the other side of a join is dealt to match. The table's
+    name is given back at once; its files stay in the shared folder.
     """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{name}_{uuid.uuid4().hex}"
     writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
     writer.option("path", scratch_path(spark, name)).saveAsTable(table)
-    return spark.table(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
 
 
 def vertices(edges: DataFrame) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param
@@ -28,31 +30,58 @@ def _tree_nodes(model) -> list[tuple[int, float, int, int]]:
     return found
 
 
-def error_by_depth(model, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
-    """Error of a grown tree cut off at every depth from 1 to its own: (depth, train, test).
+def _errors_by_depth(model, parts: Sequence[DataFrame], label: str) -> list[np.ndarray]:
+    """Share of wrong rows of each part, for a tree cut off at each depth from 0 to its own.
 
-    The tree is grown once and cut: a node above the cut predicts what it held when it was split. Rows are
-    counted by leaf and label in one pass each; the rest is worked out on the nodes.
+    A node above the cut predicts what it held when it was split. Rows are counted by leaf and label in one
+    pass; the rest is worked out on the nodes.
     """
+    model.setLeafCol("_leaf")
     nodes = _tree_nodes(model)
     at = {leaf: i for i, (_, _, _, leaf) in enumerate(nodes) if leaf >= 0}
-    deepest = max(n[0] for n in nodes)
-    errors = []
-    for df in (train, test):
-        counts = model.transform(df).groupBy(model.getLeafCol(), label).agg(F.count("*").alias("n")).collect()
+    deepest, errors = max(n[0] for n in nodes), []
+    for df in parts:
+        counts = model.transform(df).groupBy("_leaf", label).agg(F.count("*").alias("n")).collect()
         wrong, total = np.zeros(deepest + 1), sum(r["n"] for r in counts)
         for leaf, own, n in counts:
-            i = at[int(leaf)]
-            depth = deepest
+            i, depth = at[int(leaf)], deepest
             while i >= 0:
                 if nodes[i][1] != own:
                     wrong[nodes[i][0]:depth + 1] += n
                 depth, i = nodes[i][0] - 1, nodes[i][2]
         errors.append(wrong / max(total, 1))
-    rows = [(d, float(errors[0][d]), float(errors[1][d])) for d in range(min(1, deepest), deepest + 1)]
+    return errors
+
+
+def error_by_depth(model, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
+    """Error of a grown tree cut off at every depth from 1 to its own: (depth, train, test)."""
+    errors = _errors_by_depth(model, [train, test], label)
+    rows = [(d, float(errors[0][d]), float(errors[1][d])) for d in range(min(1, len(errors[0]) - 1), len(errors[0]))]
     return train.sparkSession.createDataFrame(rows, "depth int, train double, test double")
 
 
+def depth_search(
+    df: DataFrame, label: str, fold: str, folds: int, depths: Sequence[int], fractions: Sequence[float] = (1.0,), seed: int = 7, parallelism: int = 4
+) -> DataFrame:
+    """Accuracy of trees by depth and share of the features tried at a split, on every fold: (depth, features, fold, train, validation).
+
+    One tree is grown for each fold and share and cut at every depth, so the number of fits does not grow with
+    the depths.
+    """
+    def scores(job: tuple[float, int, DataFrame, DataFrame]) -> list[tuple]:
+        share, number, train, held = job
+        grown = RandomForestClassifier(
+            labelCol=label, numTrees=1, bootstrap=False, featureSubsetStrategy="all" if share >= 1 else str(share), maxDepth=max(depths), seed=seed)
+        errors = _errors_by_depth(grown.fit(train).trees[0], [train, held], label)
+        last = len(errors[0]) - 1
+        return [(d, float(share), number, float(1 - errors[0][min(d, last)]), float(1 - errors[1][min(d, last)])) for d in depths]
+
+    jobs = [(share, *part) for share in fractions for part in fold_parts(df, fold, folds)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = [row for found in pool.map(scores, jobs) for row in found]
+    return df.sparkSession.createDataFrame(rows, "depth int, features double, fold int, train double, validation double")
+
+
 def error_by_value(
     make: Callable[[object], Estimator], values: Sequence, train: DataFrame, test: DataFrame, evaluator: Evaluator
 ) -> DataFrame:

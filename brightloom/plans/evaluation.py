@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -194,7 +194,7 @@ def error_by_depth(spark, sf_dir):
     """Error of a fully grown tree cut off at every depth, on train and test."""
     df = ranking.hash_split(vectors(spark, sf_dir), "vec_id", 70)
     train, test = df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test")
-    model = tree(maxDepth=20, leafCol="leaf").fit(train)
+    model = tree(maxDepth=20).fit(train)
     return tune.error_by_depth(model, train, test, "label")
 
 
@@ -358,17 +358,18 @@ def best_penalty(spark, sf_dir):
     return spark.createDataFrame(rows, "kind string, penalty double, intercept double, slope double")
 
 
+TREE_DEPTHS, TREE_FEATURES, TREE_FOLDS = range(1, 20), [0.2, 0.4, 0.6, 0.8], 8
+
+
 def tree_search(spark, sf_dir):
-    df = folded_vectors(spark, sf_dir)
-    estimator = tree()
-    grid = [{estimator.maxDepth: d, estimator.minInstancesPerNode: m} for d in (3, 6) for m in (1, 5)]
-    return df, tune.grid_search(estimator, grid, accuracy_score(), df, "fold", 3)
+    """Nineteen depths and four shares of features on eight folds: mean and deviation of the fold scores."""
+    scores = tune.depth_search(folded_vectors(spark, sf_dir, TREE_FOLDS), "label", "fold", TREE_FOLDS, TREE_DEPTHS, TREE_FEATURES)
+    return scores.groupBy("depth", "features").agg(F.avg("validation").alias("mean"), F.stddev_pop("validation").alias("std"))
 
 
 @query("h03_grid_search")
 def grid_search(spark, sf_dir):
-    df, found = tree_search(spark, sf_dir)
-    return tune.search_table(found, df)
+    return tree_search(spark, sf_dir)
 
 
 @query("h04_fold_scores")
@@ -389,9 +390,9 @@ def nested_search(spark, sf_dir):
 
 @query("h06_validation_curve")
 def validation_curve(spark, sf_dir):
-    estimator = tree()
-    return tune.validation_curve(
-        estimator, estimator.maxDepth, [2, 4, 8], accuracy_score(), folded_vectors(spark, sf_dir), "fold", 3)
+    """Accuracy of trees by depth on eight folds."""
+    scores = tune.depth_search(folded_vectors(spark, sf_dir, TREE_FOLDS), "label", "fold", TREE_FOLDS, TREE_DEPTHS)
+    return scores.groupBy(F.col("depth").cast("double").alias("value")).agg(F.avg("train").alias("train"), F.avg("validation").alias("validation"))
 
 
 @query("h07_elbow")
@@ -401,7 +402,11 @@ def elbow(spark, sf_dir):
 
 @query("h08_best_parameters")
 def best_parameters(spark, sf_dir):
-    """Predictions of the best tree of the grid search, with its parameters."""
-    df, found = tree_search(spark, sf_dir)
-    params, model = tune.best_parameters(found)
-    return model.transform(df).select("vec_id", "label", "prediction", F.lit(params).alias("params"))
+    """Predictions of the best tree of the grid search, refitted on all rows, with its parameters."""
+    df = vectors(spark, sf_dir)
+    order = F.struct(-F.col("mean"), F.col("depth"), F.col("features"))
+    best = tree_search(spark, sf_dir).agg(F.min_by(F.struct("depth", "features"), order).alias("b")).first()["b"]  # one row
+    model = RandomForestClassifier(
+        numTrees=1, bootstrap=False, featureSubsetStrategy=str(best["features"]), maxDepth=best["depth"], seed=7).fit(df)
+    return model.transform(df).select(
+        "vec_id", "label", "prediction", F.lit(best["depth"]).alias("depth"), F.lit(best["features"]).alias("features"))

@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
-from brightloom.session import get_session  # noqa: E402
+from brightloom.session import drop_scratch, get_session  # noqa: E402
 
 if __name__ == "__main__":
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
@@ -40,4 +40,5 @@ if __name__ == "__main__":
             if "-v" in wanted:
                 traceback.print_exc()
         print(f"{name:45s} {time.time() - begin:6.2f}s  {state}", flush=True)
+    drop_scratch(spark)
     print("bad", bad)
