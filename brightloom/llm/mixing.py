@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brightloom.llm.common import word_count
+from brightloom.llm.common import word_count, written
 from brightloom.operators.positions import with_position, with_running_sums
 
 #: Source weights, dealt to the sources in code-point order, again and again.
 WEIGHTS = (1, 2, 3)
 #: A source gives at most so many times its own size.
 MOST_REPEATS = 3
+#: Walks over the documents of a source: the first up to the budget, the others for what is left of it.
+WALKS = 4
 
 
 def quality_weight(text: Column, size: Column) -> Column:
@@ -54,33 +58,58 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """One row per document: ``doc_id, size, source, source_size, target, copies, taken``.
 
     Every document of a source is taken in each complete epoch that fits its target; the rest of
-    the target goes to the documents with the smallest exponential keys, up to the word budget, and
-    the document on the border is taken where that comes closer. Sources that hold a large part of
-    all rows are sorted over many tasks. A null text has size 0, a null source is a source, a null
-    id counts as the empty text for its key; rows that are alike in id and size share one key
+    the target goes to the documents with the smallest exponential keys, as long as they fit the word budget.
+    What is then left of it goes in the same way to the later documents that are not larger than that, and so on
+    in ``WALKS`` walks, so a target is missed by little even where a long document stands at the border. Sources
+    that hold a large part of all rows are sorted over many tasks. A null text has size 0, a null source is a
+    source, a null id counts as the empty text for its key; rows that are alike in id and size share one key
     and may be taken a different number of times; an empty table gives an empty one.
     """
     count = word_count(F.col(text))
     sized = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), count.alias("size"),
         exponential_key(F.col(doc_id), quality_weight(F.col(text), count)).alias("_key"))
-    targets = source_targets(sized, "source", "size", weights, most)
+    sized = written(sized, "sizes")  # far smaller than the texts, which are read once
     # One small row per source; Spark broadcasts it where its size allows.
-    run = with_running_sums(sized, ["_key", "doc_id", "size"], {"_run": "size"}, keys=["source"])
-    target = targets.withColumnRenamed("source", "_source")
+    target = source_targets(sized, "source", "size", weights, most).withColumnRenamed("source", "_source")
     epochs = F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.floor(F.col("target") / F.col("source_size")))
-    left = F.col("target") - F.col("_epochs") * F.col("source_size")
-    extra = F.when((2 * F.col("_run") - F.col("size")).cast("double") < 2 * left, 1).otherwise(0)
+    target = target.withColumn("_epochs", epochs.cast("long")).withColumn("_left", F.col("target") - F.col("_epochs") * F.col("source_size"))
+    target = written(target, "targets")
+    waiting, left, parts = sized, target.select("_source", "_left"), []
+    for walk in range(WALKS):
+        near = waiting.join(left, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+        fits = (F.col("size") > 0) & (F.col("size") <= F.col("_left")) if walk else F.lit(True)
+        run = with_running_sums(near.filter(fits), ["_key", "doc_id", "size"], {"_run": "size"}, keys=["source"])
+        run = written(run.withColumn("_extra", (F.col("_run") <= F.col("_left")).cast("int")), "walk")
+        rest = [near.filter(~fits).withColumn("_extra", F.lit(0)).drop("_left")] if walk else []
+        parts.append(run.filter("_extra = 1").select("doc_id", "source", "size", "_extra"))
+        waiting = reduce(DataFrame.unionByName, [run.filter("_extra = 0").drop("_run", "_left"), *rest]).drop("_extra")
+        used = run.groupBy("source").agg(F.max(F.when(F.col("_extra") == 1, F.col("_run"))).alias("_used"))
+        used = used.select(F.col("source").alias("_own"), F.coalesce("_used", F.lit(0)).alias("_used"))
+        left = written(left.join(used, F.col("_source").eqNullSafe(F.col("_own")), "left").select(
+            "_source", (F.col("_left") - F.coalesce("_used", F.lit(0))).alias("_left")), "left")
+    parts.append(waiting.select("doc_id", "source", "size", F.lit(0).alias("_extra")))
     return (
-        run.join(target, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_epochs", epochs.cast("long"))
-        .withColumn("copies", F.least(F.col("_epochs") + extra, F.lit(most)).cast("long"))
+        reduce(DataFrame.unionByName, parts).join(target, F.col("source").eqNullSafe(F.col("_source")))
+        .withColumn("copies", F.least(F.col("_epochs") + F.col("_extra"), F.lit(most)).cast("long"))
         .select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")))
 
 
 def check_sql(weights=WEIGHTS, most: int = MOST_REPEATS) -> str:
     """The DuckDB statement for the query over ``documents``."""
     dealt = f"[{', '.join(map(str, weights))}]"
+
+    def walk(i: int) -> str:
+        fits = "size > 0 AND size <= rest" if i else "true"
+        return f"""
+r{i} AS MATERIALIZED (SELECT id, source, rest, size, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto
+    FROM (SELECT w.*, rest FROM w{i} w JOIN l{i} l ON w.source IS NOT DISTINCT FROM l.source) WHERE {fits}),
+t{i} AS MATERIALIZED (SELECT id, source, upto FROM r{i} WHERE upto <= rest),
+w{i + 1} AS MATERIALIZED (SELECT * FROM w{i} WHERE id NOT IN (SELECT id FROM t{i})),
+l{i + 1} AS MATERIALIZED (SELECT l.source, any_value(rest) - coalesce(max(upto), 0) AS rest FROM l{i} l
+    LEFT JOIN t{i} t ON l.source IS NOT DISTINCT FROM t.source GROUP BY l.source)"""
+
+    walks = ",".join(walk(i) for i in range(WALKS)) + ",\ntaken AS (" + " UNION ALL ".join(f"SELECT id FROM t{i}" for i in range(WALKS)) + ")"
     return f"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t,
     len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+'))::BIGINT AS size FROM documents),
@@ -96,7 +125,8 @@ x AS (SELECT *, sum(source_size) OVER () AS everything, sum(w) OVER () AS weight
 y AS (SELECT *, (everything - caps_before)::DOUBLE / (weights - weights_before)::DOUBLE AS level FROM x),
 z AS (SELECT source, source_size, least(cap::DOUBLE, w::DOUBLE * coalesce(max(CASE WHEN ratio > level THEN level END) OVER (), 0.0::DOUBLE)) AS target FROM y),
 e AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size)::BIGINT END AS epochs FROM z),
-run AS (SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY -ln(u) / w, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM k)
-SELECT doc_id, size, source_size, target,
-    (size * least(epochs + CASE WHEN (2 * upto - size)::DOUBLE < 2 * (target - epochs * source_size) THEN 1 ELSE 0 END, {most}))::BIGINT AS taken
-FROM run JOIN e ON run.source IS NOT DISTINCT FROM e.source"""
+l0 AS (SELECT source, target - epochs * source_size AS rest FROM e),
+w0 AS (SELECT row_number() OVER () AS id, doc_id, source, size, -ln(u) / w AS key FROM k),
+{walks}
+SELECT doc_id, size, source_size, target, (size * least(epochs + CASE WHEN id IN (SELECT id FROM taken) THEN 1 ELSE 0 END, {most}))::BIGINT AS taken
+FROM w0 JOIN e ON w0.source IS NOT DISTINCT FROM e.source"""
