@@ -212,7 +212,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def _anchor_rows(buckets: int):
-    """Anchors of each task's texts by range of their hash; equal texts at hand are taken once."""
+    """Anchors of each task's texts by their hash; equal texts at hand are taken once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -220,7 +220,9 @@ def _anchor_rows(buckets: int):
 
         def flush() -> pd.DataFrame:
             h, order, place = (np.concatenate(x) for x in zip(*held))
-            target = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            # Anchors are least hashes, so their values crowd at the low end; mixed again they are even.
+            mixed = (h * _C) >> np.uint64(32)
+            target = (mixed * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             return pd.DataFrame(list(_cut(PLACE, target, 0, h, order, place)), columns=_COLUMNS)
 
         for batch in batches:
@@ -240,7 +242,7 @@ def _anchor_rows(buckets: int):
 
 
 def _shared(buckets: int):
-    """Of the anchors of one range of hashes, those that stand in several documents, by their documents' bucket."""
+    """Of the anchors of one share of hashes, those that stand in several documents, by their documents' bucket."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         h, order, place = _unpack(frame, "<u8", "<i8", "<u4")
