@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brightloom.functions import numeric, text
-from brightloom.plans.registry import query, table
+from brightloom.plans.registry import dealt, query, table
 
 
 def quoted(value: str) -> str:
@@ -117,14 +117,14 @@ def date_time(spark, sf_dir):
 @query("f12_clean_long_texts", sql=f"""
     SELECT doc_id, {joined_sql('w')} AS text FROM (SELECT doc_id, {clean_words_sql('text')} AS w FROM documents) WHERE len(w) > 50""")
 def clean_long_texts(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = dealt(spark, sf_dir, "documents").select("doc_id", "text")
     return text.long_clean_texts(documents, "text", longer_than=50)
 
 
 @query("f13_clean_texts", sql=f"""
     SELECT conv_id, turn, {joined_sql(clean_words_sql('text'))} AS text FROM conversations""")
 def clean_texts(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    turns = dealt(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     return turns.withColumn("text", text.clean_text(F.col("text")))
 
 

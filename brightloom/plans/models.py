@@ -19,7 +19,7 @@ from brightloom.plans.aggregation import HASH_SQL
 from brightloom.plans.column_operations import K_SQL, RETURNS_SQL, events_k, returns
 from brightloom.plans.joins_sets import embedded, embedding_neighbours, pairs_sql
 from brightloom.plans.preparation import COUNTS_SQL
-from brightloom.plans.registry import query, table
+from brightloom.plans.registry import dealt, query, table
 from brightloom.plans.streams import SENSOR, sensor_rows
 from brightloom.session import checkpointed
 
@@ -205,10 +205,9 @@ def vectors(spark, sf_dir):
 
 def weighed_texts(spark, sf_dir, size: int = 100):
     """Documents with TF-IDF weights over the ``size`` most frequent terms, and the terms in order; every document has a row."""
-    documents = table(spark, sf_dir, "documents")
-    counts = feat.term_counts(documents, "doc_id", "text")
+    counts = feat.term_counts(dealt(spark, sf_dir, "documents"), "doc_id", "text")
     top = feat.top_terms(counts, size)
-    return feat.tfidf(counts, top, documents.count()), sorted(r["term"] for r in top.collect())
+    return feat.tfidf(counts, top, counts.count()), sorted(r["term"] for r in top.collect())
 
 
 def labelled_texts(spark, sf_dir):

@@ -15,7 +15,7 @@ from brightloom.plans.aggregation import HASH_SQL
 from brightloom.plans.column_operations import K_SQL, events_k
 from brightloom.plans.functions_text import clean_words_sql
 from brightloom.plans.graphs import SUPPLY_SQL, supply_edges
-from brightloom.plans.registry import query, table
+from brightloom.plans.registry import dealt, query, table
 
 
 @query("m01_codes_by_frequency", sql="""
@@ -115,7 +115,7 @@ COUNTS_SQL = f"""
 @query("m09_term_counts", sql=f"WITH {COUNTS_SQL} SELECT doc_id, term, n FROM counts JOIN vocabulary USING (term)")
 def term_counts(spark, sf_dir):
     """Counts of the hundred most frequent words and word pairs in each document."""
-    counts = feat.term_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
+    counts = feat.term_counts(dealt(spark, sf_dir, "documents"), "doc_id", "text")
     top = [r["term"] for r in feat.top_terms(counts, 100).collect()]
     return counts.select("doc_id", F.inline(F.filter("terms", lambda x: x["term"].isin(top))))
 
@@ -126,9 +126,8 @@ def term_counts(spark, sf_dir):
         FROM counts JOIN vocabulary USING (term))
     SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""")
 def tfidf(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    counts = feat.term_counts(documents, "doc_id", "text")
-    weights = feat.tfidf(counts, feat.top_terms(counts, 100), documents.count())
+    counts = feat.term_counts(dealt(spark, sf_dir, "documents"), "doc_id", "text")
+    weights = feat.tfidf(counts, feat.top_terms(counts, 100), counts.count())
     return weights.select("doc_id", F.inline("terms")).withColumn("weight", F.round("weight", 6))
 
 

@@ -28,3 +28,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given files dealt over the cores, for costly work on each row: a file has one row group, so one task would do it all."""
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
