@@ -21,29 +21,20 @@ def columns_of_type(df: DataFrame, *kinds: type[T.DataType]) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    return columns_of_type(df, T.NumericType)
-
-
-def rule_nested(refund: Column, status: Column, income_high: Column) -> Column:
-    """The full rule written as nested conditions; 1 for yes."""
-    return F.when(
-        refund == "no",
-        F.when(
-            income_high == "yes",
-            F.when((status == "single") | (status == "divorced"), 1).otherwise(0),
-        ).otherwise(0),
-    ).otherwise(0)
-
-
-def rule_flat(refund_code: Column, status_code: Column, income_code: Column) -> Column:
-    """The same rule on alphabetic codes (no = 0, yes = 1; divorced, married, single = 0, 1, 2)."""
-    return ((refund_code == 0) & (income_code == 1) & (status_code != 1)).cast("int")
-
-
-def rule_one_attribute(value: Column, other_than: str) -> Column:
-    """1 where ``value`` is not ``other_than``."""
-    return F.when(value != other_than, 1).otherwise(0)
+def rule_nested(conditions: Sequence[Column]) -> Column:
+    """1 where all conditions hold, written as one decision inside the other; a condition that is null does not hold."""
+    out = F.lit(1)
+    for c in reversed(conditions):
+        out = F.when(c, out).otherwise(0)
+    return out
+
+
+def rule_flat(conditions: Sequence[Column]) -> Column:
+    """The same rule as one condition; null where one is null and none is false."""
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out.cast("int")
 
 
 def stacked(df: DataFrame, columns: Sequence[str], name: str = "column", value: str = "value") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brightloom.operators import aggregates as agg, evaluate, knn, ranking
-from brightloom.plans.column_operations import RETURNS_SQL, returns
+from brightloom.plans.column_operations import RETURNS_SQL, returns, rule_conditions
 from brightloom.plans.joins_sets import embedding_neighbours, pairs_sql
 from brightloom.plans.registry import query, table
 
@@ -234,8 +234,8 @@ def metric_table(spark, sf_dir):
     from brightloom.operators import columns as cols
 
     rows = returns(spark, sf_dir).select(
-        cols.rule_nested(F.col("refund"), F.col("marital_status"), F.col("income_above_80k")).alias("full_rule"),
-        cols.rule_one_attribute(F.col("marital_status"), "married").alias("one_rule"),
+        cols.rule_nested(rule_conditions()).alias("full_rule"),
+        cols.rule_nested(rule_conditions()[2:]).alias("one_rule"),
         (F.col("cheat") == "yes").cast("int").alias("y"))
     return agg.metric_rows({
         ("full rule", "all"): evaluate.accuracy(rows, "y", "full_rule"),

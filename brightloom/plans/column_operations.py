@@ -198,11 +198,16 @@ RETURNS_SQL = """(
 RULE_SQL = "CAST(refund = 'no' AND income_above_80k = 'yes' AND marital_status <> 'married' AS INTEGER)"
 
 
+def rule_conditions():
+    """No refund, a high income, and not married."""
+    return [F.col("refund") == "no", F.col("income_above_80k") == "yes", F.col("marital_status") != "married"]
+
+
 @query("c21_rule_nested", sql=f"SELECT l_orderkey, l_linenumber, {RULE_SQL} AS predicted FROM {RETURNS_SQL}")
 def rule_nested(spark, sf_dir):
     return returns(spark, sf_dir).select(
         "l_orderkey", "l_linenumber",
-        cols.rule_nested(F.col("refund"), F.col("marital_status"), F.col("income_above_80k")).alias("predicted"))
+        cols.rule_nested(rule_conditions()).alias("predicted"))
 
 
 @query("c22_rule_on_codes", sql=f"SELECT l_orderkey, l_linenumber, {RULE_SQL} AS predicted FROM {RETURNS_SQL}")
@@ -210,18 +215,18 @@ def rule_on_codes(spark, sf_dir):
     yes_no = {"no": 0, "yes": 1}
     return returns(spark, sf_dir).select(
         "l_orderkey", "l_linenumber",
-        cols.rule_flat(
-            numeric.recode(F.col("refund"), yes_no),
-            numeric.recode(F.col("marital_status"), {"divorced": 0, "married": 1, "single": 2}),
-            numeric.recode(F.col("income_above_80k"), yes_no),
-        ).alias("predicted"))
+        cols.rule_flat([
+            numeric.recode(F.col("refund"), yes_no) == 0,
+            numeric.recode(F.col("income_above_80k"), yes_no) == 1,
+            numeric.recode(F.col("marital_status"), {"divorced": 0, "married": 1, "single": 2}) != 1,
+        ]).alias("predicted"))
 
 
 @query("c23_rule_one_attribute", sql=f"""
     SELECT l_orderkey, l_linenumber, CASE WHEN marital_status <> 'married' THEN 1 ELSE 0 END AS predicted FROM {RETURNS_SQL}""")
 def rule_one_attribute(spark, sf_dir):
     return returns(spark, sf_dir).select(
-        "l_orderkey", "l_linenumber", cols.rule_one_attribute(F.col("marital_status"), "married").alias("predicted"))
+        "l_orderkey", "l_linenumber", cols.rule_nested(rule_conditions()[2:]).alias("predicted"))
 
 
 @query("c24_age_classes", sql=f"""

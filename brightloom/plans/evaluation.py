@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from brightloom.operators import bayes, columns as cols, evaluate, linear, ranking, tune
 from brightloom.operators.aggregates import metric_rows
 from brightloom.plans.aggregation import HASH_SQL, SCORED_SQL, scored_documents
-from brightloom.plans.column_operations import RETURNS_SQL, returns
+from brightloom.plans.column_operations import RETURNS_SQL, returns, rule_conditions
 from brightloom.plans.models import (
     LINE_SPLIT_SQL, PENALTIES, PENALTY_SQL, TEXTS_SQL, labelled_texts, multinomial_sql, priced_lines, shrunk, vectors,
 )
@@ -131,7 +131,7 @@ def cluster_agreement(spark, sf_dir):
 def train_test_comparison(spark, sf_dir):
     rows = ranking.hash_split(returns(spark, sf_dir), "l_orderkey", 70).select(
         "split",
-        cols.rule_nested(F.col("refund"), F.col("marital_status"), F.col("income_above_80k")).alias("predicted"),
+        cols.rule_nested(rule_conditions()).alias("predicted"),
         (F.col("cheat") == "yes").cast("int").alias("y"))
     out = evaluate.compare_datasets({
         ("full rule", part): evaluate.accuracy(rows.filter(F.col("split") == part), "y", "predicted")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from brightloom.functions import names, numeric, text
 from brightloom.operators import aggregates, columns as cols, evaluate, graph, joins, ranking
 from brightloom.operators.primes import with_prime_key
+from brightloom.plans.column_operations import rule_conditions
 from brightloom.sources import readers
 
 # The ten training and ten test rows of the rule (index, refund, status, income, cheat).
@@ -49,11 +50,8 @@ def test_entropy_and_gains(train):
 
 def test_rule_in_both_forms(train):
     both = train.select(
-        cols.rule_nested(F.col("refund"), F.col("marital_status"), F.col("income_above_80k")).alias("nested"),
-        cols.rule_flat(
-            numeric.recode(F.col("refund"), {"no": 0, "yes": 1}),
-            numeric.recode(F.col("marital_status"), {"divorced": 0, "married": 1, "single": 2}),
-            numeric.recode(F.col("income_above_80k"), {"no": 0, "yes": 1})).alias("flat"),
+        cols.rule_nested(rule_conditions()).alias("nested"),
+        cols.rule_flat(rule_conditions()).alias("flat"),
         (F.col("cheat") == "yes").cast("int").alias("y"))
     rows = both.collect()
     assert all(r["nested"] == r["flat"] for r in rows)
@@ -63,7 +61,7 @@ def test_rule_in_both_forms(train):
 
 def test_one_attribute_rule(train):
     rows = train.select(
-        cols.rule_one_attribute(F.col("marital_status"), "married").alias("p"), (F.col("cheat") == "yes").cast("int").alias("y"))
+        cols.rule_nested(rule_conditions()[2:]).alias("p"), (F.col("cheat") == "yes").cast("int").alias("y"))
     assert evaluate.accuracy(rows, "y", "p").first()["accuracy"] == pytest.approx(0.7)
     assert evaluate.binary_counts(rows, "y", "p").first().asDict() == {"tp": 3, "fp": 3, "fn": 0, "tn": 4}
 
