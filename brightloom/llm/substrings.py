@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from brightloom.llm.common import pieces, release_shuffles, written
+from brightloom.llm.common import forget, pieces, release_shuffles, written
 
 LENGTH, ANCHOR = 50, 20
 OFFSETS = LENGTH - ANCHOR + 1  # places of an anchor in a string: 31, one bit each
@@ -201,11 +201,16 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     copy_rows = copies.selectExpr("kind", "bucket", "origin", *[f"cast(null as binary) AS {c}" for c in "abcde"], "items")
     known = found.selectExpr("*", packed).unionByName(copy_rows)
     suffixes = written(
-        long_.select("bucket", "order", "tag", "text").groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(_suffixes(splitters), _ROW), "suffixes")
+        long_.select("bucket", "order", "tag", "text").groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(_suffixes(splitters), _ROW), "suffixes", "zstd")
+    met = written(suffixes.filter(F.col("kind") == MASK), "met")
+    forget(found)
+    del known, found
     release_shuffles(spark)
     masks = written(suffixes.filter(F.col("kind") == SUFFIX).groupBy("bucket").applyInPandas(_compared, _ROW), "masks")
+    forget(suffixes)
+    del suffixes
     release_shuffles(spark)
-    marks = masks.unionByName(suffixes.filter(F.col("kind") == MASK)).selectExpr("*", packed).unionByName(copy_rows)
+    marks = masks.unionByName(met).selectExpr("*", packed).unionByName(copy_rows)
     out = rows.select("bucket", "doc_id", "order", "tag", "text").groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInPandas(
         _kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out
