@@ -38,6 +38,16 @@ def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     return out
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let batches of rows that go to Python hold at most ``rows``, where the session allows more.
+
+    A batch lies several times in an executor's memory, and texts are long.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete the files of tables from :func:`written` that nothing reads any more."""
     for df in tables:

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from brightloom.llm.common import forget, pieces, release_shuffles, written
+from brightloom.llm.common import forget, pieces, release_shuffles, small_batches, written
 
 LENGTH, ANCHOR = 50, 20
 OFFSETS = LENGTH - ANCHOR + 1  # places of an anchor in a string: 31, one bit each
@@ -180,6 +180,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     table gives an empty one. Copies of a whole text are removed by their digest.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     order = F.coalesce(F.col(doc_id).try_cast("long"), F.lit(_LAST) - F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
     rows = docs.select(F.col(doc_id).try_cast("long").alias(doc_id), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select(F.col(doc_id).alias("doc_id"), "text", order.alias("order"), F.xxhash64("text").alias("tag"))
