@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brightloom.llm import langid, mixing, near_dedup, packing, secrets
-from brightloom.llm.common import release_shuffles, table, written
+from brightloom.llm.common import release_shuffles, small_batches, table, written
 from brightloom.plans.registry import query
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -21,6 +21,7 @@ LEAST_SHARE = 0.4
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognised main language go; a missing ``lang`` is filled in."""
+    small_batches(spark)
     found = langid.identify(docs.select(*COLUMNS), langid.fit(docs), out="_language")
     kept = found.filter((F.col("_language.lang") != langid.UNKNOWN) & (F.col("_language.score") >= LEAST_SHARE))
     return kept.withColumn("lang", F.coalesce("lang", "_language.lang")).select(*COLUMNS)
@@ -28,6 +29,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: word shingles of five words, similarity of 0.8 or more."""
+    small_batches(spark)
     marked = near_dedup.near_duplicates(docs)
     kept = written(marked.filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "kept")
     stay = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -36,6 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark and ``n_chars`` follows; every document stays."""
+    small_batches(spark)
     clean = secrets.redact(docs, secrets.fit(docs))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -51,6 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of at most 4096 tokens."""
+    small_batches(spark)
     return packing.pack(docs, str(public_tokenizers.path("word_bpe_49k.json")))
 
 
