@@ -97,13 +97,13 @@ def split_buyers(spark, sf_dir):
 @query("h02_error_by_k", sql=f"""
     WITH {split_pairs_sql(STRAIGHT, 49)},
     guesses AS (SELECT train, r, actual, avg(y) OVER (PARTITION BY id ORDER BY r ROWS UNBOUNDED PRECEDING) AS guess FROM pairs)
-    SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS split, r AS k, round(avg(pow(actual - guess, 2)), 6) AS mse FROM guesses GROUP BY train, r""")
+    SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS split, r AS k, round(avg(pow(actual - guess, 2)), 10) AS mse FROM guesses GROUP BY train, r""")
 def error_by_k(spark, sf_dir):
     """One ranking gives the error of every k up to 49, on train and test."""
     rows = split_buyers(spark, sf_dir)
     queries, train = rows.withColumnRenamed("id", "query"), rows.filter("split = 'train'")
     near = knn.nearest_neighbours(queries, train, 49, "query", "id")
-    return knn.knn_error_by_k(near, queries, train, "query", "id", "y", by=["split"]).withColumn("mse", F.round("mse", 6))
+    return knn.knn_error_by_k(near, queries, train, "query", "id", "y", by=["split"]).withColumn("mse", F.round("mse", 10))
 
 
 SCALED = {2: "sqrt(pow(q.sa - t.sa, 2) + pow(q.sb - t.sb, 2))", 1: "abs(q.sa - t.sa) + abs(q.sb - t.sb)"}
@@ -117,7 +117,7 @@ def _search_sql(p: int) -> str:
         UNION ALL SELECT *, 'distance', CASE WHEN least = 0 THEN CAST(d = 0 AS DOUBLE) ELSE 1 / d END FROM weighed),
     guesses AS (SELECT weights, r, actual, sum(w * y) OVER (PARTITION BY weights, id ORDER BY r ROWS UNBOUNDED PRECEDING)
         / sum(w) OVER (PARTITION BY weights, id ORDER BY r ROWS UNBOUNDED PRECEDING) AS guess FROM kinds)
-    SELECT {p} AS p, weights, r AS k, round(avg(pow(actual - guess, 2)), 6) AS mse FROM guesses GROUP BY weights, r)"""
+    SELECT {p} AS p, weights, r AS k, round(avg(pow(actual - guess, 2)), 10) AS mse FROM guesses GROUP BY weights, r)"""
 
 
 @query("h03_neighbour_search", sql=f"""
@@ -133,7 +133,7 @@ def neighbour_search(spark, sf_dir):
     for p in (1, 2):
         near = checkpointed(knn.nearest_neighbours(queries, train, 49, "query", "id", p=p))
         parts += [
-            knn.knn_error_by_k(near, queries, train, "query", "id", "y", weights=w).select(F.lit(p).alias("p"), F.lit(w).alias("weights"), "k", F.round("mse", 6).alias("mse"))
+            knn.knn_error_by_k(near, queries, train, "query", "id", "y", weights=w).select(F.lit(p).alias("p"), F.lit(w).alias("weights"), "k", F.round("mse", 10).alias("mse"))
             for w in ("uniform", "distance")]
     found = checkpointed(reduce(DataFrame.union, parts))
     best = found.agg(F.min(F.struct("mse", "p", "weights", "k")).alias("b")).first()["b"]  # one row
