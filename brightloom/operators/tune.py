@@ -12,44 +12,51 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from brightloom.session import scratch_path
 
-def _tree_nodes(model) -> list[tuple[int, float, int, int]]:
-    """(depth, prediction, parent, leaf number or -1) of every node of a tree model, parents first; leaves count from the left."""
-    found: list[tuple[int, float, int, int]] = []
-    waiting, leaves = [(model._call_java("rootNode"), 0, -1)], 0
-    while waiting:
-        node, depth, parent = waiting.pop()
-        inner = node.getClass().getSimpleName() == "InternalNode"
-        found.append((depth, float(node.prediction()), parent, -1 if inner else leaves))
-        if inner:
-            waiting += [(node.rightChild(), depth + 1, len(found) - 1), (node.leftChild(), depth + 1, len(found) - 1)]
-        else:
-            leaves += 1
-    return found
+
+def _tree_nodes(model, spark: SparkSession) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Depth, prediction and parent of every node of a tree model, parents first, and the nodes that are leaves, from the left.
+
+    The model is saved and its nodes are read as a table, numbered in the order in which a walk from the left meets
+    them: asking the model for one node after the other takes a call to the JVM for each.
+    """
+    path = scratch_path(spark, "tree")
+    model.write().save(path)
+    rows = spark.read.parquet(f"{path}/data").select("id", "prediction", "leftChild", "rightChild").orderBy("id").toPandas()
+    left, right = rows["leftChild"].to_numpy(), rows["rightChild"].to_numpy()
+    depth, parent = np.zeros(len(rows), int), np.full(len(rows), -1)
+    level = np.flatnonzero(rows["id"] == 0)
+    while len(level := level[left[level] >= 0]):
+        for child in (left[level], right[level]):
+            depth[child], parent[child] = depth[level] + 1, level
+        level = np.concatenate([left[level], right[level]])
+    return depth, rows["prediction"].to_numpy(float), parent, np.flatnonzero(left < 0)
 
 
 def _errors_by_depth(model, parts: Sequence[DataFrame], label: str) -> list[np.ndarray]:
     """Share of wrong rows of each part, for a tree cut off at each depth from 0 to its own.
 
     A node above the cut predicts what it held when it was split. Rows are counted by leaf and label in one
-    pass; the rest is worked out on the nodes.
+    pass; the rest is worked out on the nodes, all counts climbing towards the root together.
     """
     model.setLeafCol("_leaf")
-    nodes = _tree_nodes(model)
-    at = {leaf: i for i, (_, _, _, leaf) in enumerate(nodes) if leaf >= 0}
-    deepest, errors = max(n[0] for n in nodes), []
+    depth, prediction, parent, leaves = _tree_nodes(model, parts[0].sparkSession)
+    deepest, errors = int(depth.max()), []
     for df in parts:
-        counts = model.transform(df).groupBy("_leaf", label).agg(F.count("*").alias("n")).collect()
-        wrong, total = np.zeros(deepest + 1), sum(r["n"] for r in counts)
-        for leaf, own, n in counts:
-            i, depth = at[int(leaf)], deepest
-            while i >= 0:
-                if nodes[i][1] != own:
-                    wrong[nodes[i][0]:depth + 1] += n
-                depth, i = nodes[i][0] - 1, nodes[i][2]
-        errors.append(wrong / max(total, 1))
+        counts = model.transform(df).groupBy("_leaf", F.col(label).alias("_own")).agg(F.count("*").alias("n")).toPandas()
+        at, own, n = leaves[counts["_leaf"].to_numpy(int)], counts["_own"].to_numpy(float), counts["n"].to_numpy(float)
+        # What is wrong at a node is so at all cuts from its depth to the one above the node below.
+        change, last, total = np.zeros(deepest + 2), np.full(len(at), deepest), n.sum()
+        while len(at):
+            wrong = prediction[at] != own
+            np.add.at(change, depth[at][wrong], n[wrong])
+            np.add.at(change, last[wrong] + 1, -n[wrong])
+            last, at = depth[at] - 1, parent[at]
+            own, n, last, at = (x[at >= 0] for x in (own, n, last, at))
+        errors.append(np.cumsum(change)[:-1] / max(total, 1))
     return errors
 
 
