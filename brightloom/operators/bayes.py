@@ -6,6 +6,7 @@ do not underflow.
 
 from __future__ import annotations
 
+import copy
 import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -122,11 +123,21 @@ class MultinomialBayes:
         self.priors = {r[label]: r["prior"] for r in rows}
         long = train.select(F.col(label).alias("label"), F.inline(terms).alias("term", "weight")).filter(F.col("term").isin(self.vocabulary))
         sums = long.groupBy("label", "term").agg(F.sum("weight").alias("s")).collect()  # classes times vocabulary
-        held = {(r["label"], r["term"]): float(r["s"]) for r in sums}
+        self.held = {(r["label"], r["term"]): float(r["s"]) for r in sums}
+        self._learn(smoothing)
+
+    def _learn(self, smoothing: float) -> None:
         self.logs = {}
         for c in self.priors:
-            own = [held.get((c, t), 0.0) + smoothing for t in self.vocabulary]
-            self.logs[c] = [_log(x / sum(own)) for x in own]
+            own = [self.held.get((c, t), 0.0) + smoothing for t in self.vocabulary]
+            total = sum(own)
+            self.logs[c] = [_log(x / total) for x in own]
+
+    def smoothed(self, smoothing: float) -> MultinomialBayes:
+        """The model with another smoothing, from the same sums."""
+        other = copy.copy(self)
+        other._learn(smoothing)
+        return other
 
     def predict(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """Class and posterior per text, worked out inside the row."""
@@ -141,6 +152,31 @@ class MultinomialBayes:
         scores = {c: score(i, p) for i, (c, p) in enumerate(self.priors.items())}
         return _posteriors(df.withColumn("_known", weighed), scores, keep)
 
+    def predict_smoothed(self, df: DataFrame, smoothings: Sequence[float], keep: Sequence[str]) -> DataFrame:
+        """The class of each text by smoothing, a row for each: (keep, smoothing, predicted).
+
+        The terms of a text are looked up once for all smoothings.
+        """
+        models, width = [self.smoothed(a) for a in smoothings], len(self.priors)
+        entries = [
+            x for i, t in enumerate(self.vocabulary)
+            for x in (F.lit(t), F.array(*[F.lit(m.logs[c][i]) for m in models for c in self.priors]))]
+        logs = F.create_map(*entries)
+        known = F.filter(self.terms, lambda x: x["term"].isin(self.vocabulary))
+        weighed = F.transform(known, lambda x: F.struct(x["weight"].alias("weight"), logs[x["term"]].alias("logs")))
+        rows = df.withColumn("_known", weighed)
+
+        def score(at: int, prior: float) -> Column:
+            return F.aggregate("_known", F.lit(_log(prior)), lambda s, x: s + x["weight"] * x["logs"][at])
+
+        found = []
+        for m, a in enumerate(smoothings):
+            scores = {c: score(m * width + i, p) for i, (c, p) in enumerate(self.priors.items())}
+            # As in :func:`_posteriors`: ties go to the first class, and where no class is possible there is none.
+            best = F.array_max(F.array(*[F.struct(s.alias("score"), F.lit(-i).alias("at"), F.lit(c).alias("class")) for i, (c, s) in enumerate(scores.items())]))
+            found.append(F.struct(F.lit(float(a)).alias("smoothing"), F.when(best["score"] > F.lit(_NEVER), best["class"]).alias("predicted")))
+        return rows.select(*keep, F.inline(F.array(*found)))
+
 
 class MultinomialFolds:
     """Multinomial Bayes for every fold and smoothing at once: sums for each fold are taken in one pass, and what a

@@ -120,7 +120,7 @@ def term_counts(df: DataFrame, key: str, column: str) -> DataFrame:
     Counted inside the row, so nothing is shuffled; a text without words has an empty array. The result is
     written, so that the vocabulary and what is made with it share one cleaning of the texts.
     """
-    both = text.once(text.clean_words(F.col(column)), lambda w: F.array_sort(F.concat(w, text.ngrams(w, 2))))
+    both = text.once(text.clean_words(F.col(column)), lambda w: F.sort_array(F.concat(w, text.ngrams(w, 2))))
     counted = df.select(key, F.coalesce(text.once(both, _run_lengths), F.array().cast("array<struct<term:string,n:bigint>>")).alias("terms"))
     path = scratch_path(df.sparkSession, "terms")
     counted.write.parquet(path)

@@ -240,16 +240,14 @@ def fold_scores_sql(outer: int, smoothings, inner: int = 10) -> str:
     SELECT alpha AS smoothing, round(avg(CAST(guess <> quality AS INTEGER)) FILTER (train), 9) AS train,
         round(avg(CAST(guess <> quality AS INTEGER)) FILTER (NOT train), 9) AS test FROM guessed GROUP BY alpha""")
 def error_by_smoothing(spark, sf_dir):
-    """Error of text classification on train and test by smoothing."""
+    """Error of text classification on train and test by smoothing; the texts are weighed once, summed once and scored once."""
     rows, terms = labelled_texts(spark, sf_dir)
-    rows = rows.select("doc_id", "terms", "quality", "split")
-    train, parts = rows.filter("split = 'train'"), []
-    for a in SMOOTHINGS:
-        guessed = bayes.MultinomialBayes(train, "quality", terms, smoothing=a).predict(rows, ["quality", "split"])
-        wrong = (F.col("predicted") != F.col("quality")).cast("double")
-        parts.append(guessed.agg(F.lit(a).alias("smoothing"), *[
-            F.round(F.avg(F.when(F.col("split") == part, wrong)), 9).alias(part) for part in ("train", "test")]))
-    return reduce(DataFrame.union, parts)
+    rows = checkpointed(rows.select("terms", "quality", "split"))
+    model = bayes.MultinomialBayes(rows.filter("split = 'train'"), "quality", terms)
+    guessed = model.predict_smoothed(rows, SMOOTHINGS, ["quality", "split"])
+    wrong = (F.col("predicted") != F.col("quality")).cast("double")
+    return guessed.groupBy("smoothing").agg(*[
+        F.round(F.avg(F.when(F.col("split") == part, wrong)), 9).alias(part) for part in ("train", "test")])
 
 
 @query("h03_smoothing_search", sql=f"""

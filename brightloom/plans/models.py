@@ -206,7 +206,7 @@ def vectors(spark, sf_dir):
 def weighed_texts(spark, sf_dir, size: int = 100):
     """Documents with TF-IDF weights over the ``size`` most frequent terms, and the terms in order; every document has a row."""
     counts = feat.term_counts(dealt(spark, sf_dir, "documents"), "doc_id", "text")
-    top = feat.top_terms(counts, size)
+    top = checkpointed(feat.top_terms(counts, size))  # read twice
     return feat.tfidf(counts, top, counts.count()), sorted(r["term"] for r in top.collect())
 
 
