@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brightloom.operators.joins import members_of
 from brightloom.operators.skew import key_hash, salted_join
-from brightloom.session import scratch_path
+from brightloom.session import partitions_for, scratch_path
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -152,32 +152,34 @@ def contributions(links: DataFrame, ranks: DataFrame) -> DataFrame:
     return _parts(salted_join(links, ranks.select(F.col("id").alias("src"), "rank"), ["src"], ["src", "piece"]))
 
 
-def page_rank(edges: DataFrame, rounds: int, cut_every: int = 5, share: float = 0.001) -> DataFrame:
+def page_rank(edges: DataFrame, rounds: int, cut_every: int = 5, share: float = 0.001, per_task: int = 1 << 20) -> DataFrame:
     """Rank by repeated sharing along edges, without damping: (id, rank).
 
     All endpoints start with an equal share of 1. A page that nobody links to is gone after the first
     round; rank sent to a page without links of its own is not passed on. Links are dealt to buckets by
-    their page once; each round moves the ranks only. Pages with ``share`` of all links, at most
-    ``1 / share`` of them, are kept apart in plain files, and their ranks are broadcast.
+    their page once, as many as keep a task at about ``per_task`` links; each round moves the ranks only. Pages with
+    ``share`` of all links, at most ``1 / share`` of them, are kept apart in plain files, and their ranks are broadcast.
     """
+    spark = edges.sparkSession
     edges = _written(edges.select("src", "dst").distinct(), "edges")
-    links = _written(adjacency(edges, share=share), "links")
-    pages = _written(vertices(edges), "pages")
     total = edges.count()
-    few = links.filter(F.col("out_degree") >= max(share * total, 1000)).select("src").distinct()
-    heavy = [r["src"] for r in few.collect()]
-    is_heavy = F.col("src").isin(heavy) if heavy else F.lit(False)
-    most = bucketed(links.filter(~is_heavy), "links", "src")
-    ranks = pages.select("id", F.lit(1.0 / max(pages.count(), 1)).alias("rank"))
-    for i in range(1, rounds + 1):
-        known = ranks.withColumnRenamed("id", "src")
-        parts = _parts(most.join(known, "src"))
-        if heavy:
-            few = known.filter(F.col("src").isin(heavy))
-            parts = parts.union(_parts(links.filter(is_heavy).join(F.broadcast(few), "src")))
-        ranks = parts.groupBy("id").agg(F.sum("part").alias("rank"))
-        if (heavy or i % cut_every == 0) and i < rounds:
-            ranks = _written(ranks, f"ranks-{i}")
+    with partitions_for(spark, total, per_task):
+        links = _written(adjacency(edges, share=share), "links")
+        pages = _written(vertices(edges), "pages")
+        few = links.filter(F.col("out_degree") >= max(share * total, 1000)).select("src").distinct()
+        heavy = [r["src"] for r in few.collect()]
+        is_heavy = F.col("src").isin(heavy) if heavy else F.lit(False)
+        most = bucketed(links.filter(~is_heavy), "links", "src")
+        ranks = pages.select("id", F.lit(1.0 / max(pages.count(), 1)).alias("rank"))
+        for i in range(1, rounds + 1):
+            known = ranks.withColumnRenamed("id", "src")
+            parts = _parts(most.join(known, "src"))
+            if heavy:
+                few = known.filter(F.col("src").isin(heavy))
+                parts = parts.union(_parts(links.filter(is_heavy).join(F.broadcast(few), "src")))
+            ranks = parts.groupBy("id").agg(F.sum("part").alias("rank"))
+            if heavy or i % cut_every == 0 or i == rounds:
+                ranks = _written(ranks, f"ranks-{i}")
     return ranks
 
 

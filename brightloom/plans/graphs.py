@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from brightloom.operators import aggregates, graph
 from brightloom.plans.registry import query, table
+from brightloom.session import partitions_for
 
 REGION, NATION, CUSTOMER, ORDER, LINE = 0, 1, 2, 3, 4
 
@@ -150,7 +151,9 @@ def four_hops_away(spark, sf_dir):
         WHERE r.round < 10 GROUP BY l.dst)
     SELECT id, round(rank, 9) AS rank FROM ranks WHERE round = 10""")
 def page_rank(spark, sf_dir):
-    return graph.page_rank(supply_edges(spark, sf_dir), 10).select("id", F.round("rank", 9).alias("rank"))
+    with partitions_for(spark, 2 * table(spark, sf_dir, "lineitem").count()):
+        ranks = graph.page_rank(supply_edges(spark, sf_dir), 10)
+    return ranks.select("id", F.round("rank", 9).alias("rank"))
 
 
 # Link targets of one page, in the order they stand in its text.

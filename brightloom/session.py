@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +62,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, which outlives lost executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def partitions_for(spark: SparkSession, rows: int, per_task: int = 1 << 20) -> Iterator[int]:
+    """Inside, a shuffle has a task for every ``per_task`` of ``rows``, and no fewer than set: what a task holds does not grow with the table.
+
+    It holds for jobs that run inside, so what is made must be written there.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    wanted = max(int(before), -(-rows // per_task))
+    spark.conf.set(name, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(name, before)
