@@ -64,6 +64,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, a job's shuffle files are deleted as soon as it ends, not when the driver happens to collect garbage.
+
+    It holds for results that are made and written inside.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 @contextmanager
 def partitions_for(spark: SparkSession, rows: int, per_task: int = 1 << 20) -> Iterator[int]:
     """Inside, a shuffle has a task for every ``per_task`` of ``rows``, and no fewer than set: what a task holds does not grow with the table.
